@@ -99,21 +99,13 @@ def clean_arrivals(valid: DataFrame, scoring: Scoring) -> tuple[DataFrame, DataF
     return pheno.join(dates, domain.KEY), geno
 
 
-def process_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore, *, label: str = "arrivals") -> DataFrame:
-    """Score a batch, then store by consent; returns key, status, errors and probability.
-
-    Scores are computed before anything is stored. Rows are stored only with
-    integration consent and enter the feature store only with retraining consent
-    on top. Running the same batch again stores nothing twice.
-    """
+def score_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore, *, label: str = "arrivals") -> DataFrame:
+    """Check and score a batch; stores nothing. Returns key, status, errors and probability."""
     batch = batch.toDF(*[normal_name(c) for c in batch.columns])
     checked = materialise(check_arrivals(batch, scoring, store), label)
-    valid = checked.where(F.size("errors") == 0)
-    pheno, geno = clean_arrivals(valid, scoring)
-    joined = pheno.join(geno, domain.KEY)
-    built = build_features(joined)
-    scored = materialise(score(scoring.model, built, scoring.selection.features), f"{label}-scores")
-    _store_consented(pheno, geno, joined, scoring, store)
+    pheno, geno = clean_arrivals(checked.where(F.size("errors") == 0), scoring)
+    built = build_features(pheno.join(geno, domain.KEY))
+    scored = score(scoring.model, built, scoring.selection.features)
     return (
         checked.select(domain.KEY, "errors")
         .join(scored, domain.KEY, "left")
@@ -126,21 +118,37 @@ def process_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore, *,
     )
 
 
-def _store_consented(pheno: DataFrame, geno: DataFrame, joined: DataFrame, scoring: Scoring, store: CohortStore) -> None:
+def store_arrivals(batch: DataFrame, results: DataFrame, scoring: Scoring, store: CohortStore) -> None:
+    """Store the scored rows of a batch as far as their consent goes.
+
+    Integration consent puts a row into the clean and merged tables, retraining
+    consent on top puts it into the feature store. Keys that a table holds already
+    are left out, so running this again stores nothing twice.
+    """
     key = domain.KEY
-    allowed = joined.where("consent_integrate")
+    batch = batch.toDF(*[normal_name(c) for c in batch.columns])
+    accepted = batch.join(results.where("status = 'scored'").select(key), key, "left_semi")
+    pheno, geno = clean_arrivals(accepted.where("consent_integrate"), scoring)
+    joined = pheno.join(geno, key)
+    again = joined.where("consent_retrain")
     tables = {
-        store.phenotypes: pheno.where("consent_integrate").drop(*CONSENTS),
-        store.genotypes: geno.join(allowed.select(key), key, "left_semi"),
-        store.merged: allowed.drop(*CONSENTS),
+        store.phenotypes: pheno.drop(*CONSENTS),
+        store.genotypes: geno,
+        store.merged: joined.drop(*CONSENTS),
     }
     for name, rows in tables.items():
         append_table(_absent(rows, name, key), name, folder=store.folder)
-    again = allowed.where("consent_retrain")
     features = cols.split_target(build_features(again), scoring.selection.features, domain.TARGET, key)
     append_feature_store(_absent(features, store.features, key), store.features, folder=store.folder)
 
 
+def process_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore, *, label: str = "arrivals") -> DataFrame:
+    """Score a batch, then store what consent allows; the scores never depend on what was stored."""
+    results = materialise(score_arrivals(batch, scoring, store, label=label), f"{label}-scores")
+    store_arrivals(batch, results, scoring, store)
+    return results
+
+
 def _absent(rows: DataFrame, name: str, key: str) -> DataFrame:
     spark = rows.sparkSession
     if not spark.catalog.tableExists(name):

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from cohortkit.plans.arrivals import Scoring, process_arrivals
+from cohortkit.plans.arrivals import Scoring, score_arrivals, store_arrivals
 from cohortkit.plans.store import CohortStore
 
 
@@ -24,17 +24,21 @@ def score_stream(
 ) -> DataStreamWriter:
     """Process each micro-batch like a batch; results are written per batch id.
 
-    A batch that runs again after a failure overwrites its own results, and rows
-    that it stored already are not stored twice.
+    Results are written before anything is stored. A batch that runs again after
+    a failure finds its results, keeps them, and only completes the storing.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        done = process_arrivals(batch, scoring, store, label=f"batch-{batch_id}")
-        done.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{results.rstrip('/')}/batch={batch_id}"
-        )
+        path = f"{results.rstrip('/')}/batch={batch_id}"
+        spark = batch.sparkSession
+        try:
+            done = spark.read.parquet(path)
+        except AnalysisException:
+            score_arrivals(batch, scoring, store, label=f"batch-{batch_id}").write.parquet(path)
+            done = spark.read.parquet(path)
+        store_arrivals(batch, done, scoring, store)
 
     return (
         arrivals.writeStream.foreachBatch(handle)
