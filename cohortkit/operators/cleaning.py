@@ -7,6 +7,7 @@ new row is coded and filled like the rows the model saw.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -17,7 +18,8 @@ from cohortkit import domain
 from cohortkit.functions.columns import normal_name, number, one_hot_code, quoted
 from cohortkit.operators import columns as cols
 from cohortkit.operators import quality
-from cohortkit.operators.ordering import exact_quantiles, running
+from cohortkit.operators.ordering import WINDOW_ROWS, exact_quantiles, running
+from cohortkit.session import materialise
 
 # Label sets up to this length are applied as a literal list, longer ones by a join.
 LITERAL_LABELS = 1000
@@ -63,38 +65,29 @@ def _fill_from_map(df: DataFrame, columns: Sequence[str], values: Column) -> Dat
     ).drop("_fill")
 
 
-def label_codes(df: DataFrame, column: str) -> DataFrame:
+def label_codes(df: DataFrame, column: str, *, direct_rows: int = WINDOW_ROWS) -> DataFrame:
     """Sorted distinct values with codes 0..k-1: ``value``, ``code``.
 
-    Distinct values are ordered in buckets by the six bytes after their common
-    prefix, so that even a long label set is never sorted in one task.
+    The distinct values are written once and counted. A long label set is ordered
+    in groups by the six bytes after the prefix that all labels share, so that it
+    is never sorted in one task.
     """
-    values = df.select(F.encode(quoted(column).cast("string"), "utf-8").alias("raw"))
-    values = values.where("raw IS NOT NULL").distinct()
-    ends = values.agg(F.struct(F.hex(F.min("raw")).alias("lo"), F.hex(F.max("raw")).alias("hi"))).scalar()
-    shared = F.size(F.filter(
-        F.sequence(F.lit(1), F.greatest(F.length("_ends.lo"), F.lit(1))),
-        lambda i: F.substring("_ends.lo", F.lit(1), i) == F.substring("_ends.hi", F.lit(1), i),
-    ))
-    values = (
-        values.select("raw", ends.alias("_ends"))
-        .select("raw", shared.alias("_shared"))
-        .select(
-            F.decode("raw", "utf-8").alias("value"),
-            F.conv(F.rpad(F.substring(F.hex("raw"), F.col("_shared") + 1, F.lit(12)), 12, "0"), 16, 10)
-            .cast("double")
-            .alias("head"),
-        )
-    )
-    keyed = values.groupBy("head").agg(F.count(F.lit(1)).alias("heads"))
-    placed = running(keyed, "head", {"upto": ("sum", "heads")})
+    values = df.select(quoted(column).cast("string").alias("value")).where("value IS NOT NULL").distinct()
+    values = materialise(values, "labels")
+    n_labels = values.count()
+    if n_labels <= direct_rows:
+        rank = F.row_number().over(Window.orderBy("value"))
+        return values.select("value", (rank - 1).cast("int").alias("code"))
+    lowest, highest = values.agg(F.min("value"), F.max("value")).first()
+    shared = len(os.path.commonprefix([lowest.encode(), highest.encode()]))
+    rest = F.substring(F.hex(F.encode("value", "utf-8")), 2 * shared + 1, 12)
+    headed = values.withColumn("head", F.conv(F.rpad(rest, 12, "0"), 16, 10).cast("double"))
+    heads = materialise(headed.groupBy("head").agg(F.count(F.lit(1)).alias("heads")), "label-heads")
+    placed = running(heads, "head", {"upto": ("sum", "heads")}, direct_rows=direct_rows)
     inside = Window.partitionBy("head").orderBy("value")
-    return (
-        values.join(placed, "head")
-        .select(
-            "value",
-            (F.col("upto") - F.col("heads") + F.row_number().over(inside) - 1).cast("int").alias("code"),
-        )
+    return headed.join(placed, "head").select(
+        "value",
+        (F.col("upto") - F.col("heads") + F.row_number().over(inside) - 1).cast("int").alias("code"),
     )
 
 
@@ -170,9 +163,8 @@ def prepare_phenotypes(raw: DataFrame) -> DataFrame:
     return fill_constant(drop_duplicate_rows(named), domain.TEXT_FILL)
 
 
-def fit_phenotypes(raw: DataFrame) -> PhenotypeFit:
-    """Medians and gender labels of a cohort (reads one row per column and per label)."""
-    ready = prepare_phenotypes(raw)
+def fit_phenotypes(ready: DataFrame) -> PhenotypeFit:
+    """Medians and gender labels of prepared phenotypes (reads one row per column and per label)."""
     medians = {r["feature"]: r["median"] for r in column_medians(ready, domain.MEDIAN_FILL).collect()}
     labels = ready.select("gender").distinct().limit(LITERAL_LABELS + 1).collect()
     if len(labels) > LITERAL_LABELS:
@@ -187,14 +179,8 @@ def phenotype_violations(clean: DataFrame) -> DataFrame:
     )
 
 
-def clean_phenotypes(raw: DataFrame, fit: PhenotypeFit | None = None, *, check: bool = True) -> DataFrame:
-    """Clean phenotypes: fill, encode, cast and check.
-
-    Without ``fit`` everything stays one lazy plan over this input; with it, the
-    cohort's medians and labels are used. ``check`` runs one counting pass and
-    raises on a clinical-range violation.
-    """
-    ready = prepare_phenotypes(raw)
+def encode_phenotypes(ready: DataFrame, fit: PhenotypeFit | None = None) -> DataFrame:
+    """Fill, encode and cast prepared phenotypes; one projection if the statistics are given."""
     if fit is None:
         filled = label_encode(fill_median(ready, domain.MEDIAN_FILL), "gender")
     else:
@@ -208,18 +194,38 @@ def clean_phenotypes(raw: DataFrame, fit: PhenotypeFit | None = None, *, check:
         domain.SMOKING_ANSWERS,
         "smoking",
     )
-    clean = cols.cast_columns(coded, domain.INTEGER_COLUMNS, domain.FLOAT_COLUMNS)
+    return cols.cast_columns(coded, domain.INTEGER_COLUMNS, domain.FLOAT_COLUMNS)
+
+
+def clean_phenotypes(raw: DataFrame, fit: PhenotypeFit | None = None, *, check: bool = True) -> DataFrame:
+    """Clean phenotypes: prepare, fill, encode, cast and check.
+
+    Without ``fit`` the statistics are those of this input, which is then written
+    to the scratch folder after preparation: removing duplicates moves every row,
+    and the statistics and the result would each repeat it. ``check`` runs one
+    counting pass and raises on a clinical-range violation.
+    """
+    ready = prepare_phenotypes(raw)
+    if fit is None:
+        ready = materialise(ready, "phenotypes")
+    clean = encode_phenotypes(ready, fit)
     if check:
         quality.raise_on_violations(phenotype_violations(clean), "invalid phenotype values")
     return clean
 
 
 def fit_genotypes(raw: DataFrame, key: str = domain.KEY) -> GenotypeFit:
-    """Quality-control the cohort's SNP columns (reads one row per SNP)."""
+    """Quality-control the cohort's SNP columns in one pass (reads one row per SNP).
+
+    Raises on a dosage outside {0, 1, 2, null}.
+    """
     cols.require_columns(raw, [key])
     snps = [c for c in raw.columns if c != key]
-    kept = quality.snp_quality(raw, snps).where("kept").orderBy("position").collect()
-    return GenotypeFit({r["snp"]: r["mean_dosage"] for r in kept})
+    report = quality.snp_quality(raw, snps).orderBy("position").collect()
+    bad = {r["snp"]: r["invalid"] for r in report if r["invalid"]}
+    if bad:
+        raise ValueError(f"invalid dosages: {bad}")
+    return GenotypeFit({r["snp"]: r["mean_dosage"] for r in report if r["kept"]})
 
 
 def clean_genotypes(
@@ -227,14 +233,13 @@ def clean_genotypes(
 ) -> DataFrame:
     """Key and quality-controlled SNPs, nulls filled with the cohort's mean dosage.
 
-    ``check`` raises on a dosage outside {0, 1, 2, null}.
+    Fitting checks the dosages already; with a given ``fit``, ``check`` does it.
     """
     cols.require_columns(raw, [key])
-    if check:
-        quality.raise_on_violations(
-            quality.dosage_violations(raw, [c for c in raw.columns if c != key]), "invalid dosages"
-        )
-    fit = fit or fit_genotypes(raw, key)
+    if fit is None:
+        fit = fit_genotypes(raw, key)
+    elif check:
+        quality.raise_on_violations(quality.dosage_violations(raw, fit.snps), "invalid dosages")
     cols.require_columns(raw, fit.snps)
     return raw.select(
         quoted(key),

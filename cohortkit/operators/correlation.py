@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import number, quoted
 
-# Up to this many pairs one aggregate holds an expression per pair; more pairs
-# are summed as matrix products inside the tasks.
-EXPRESSION_PAIRS = 400
+# Up to this many pairs are plain aggregate expressions. Beyond it the generated
+# code grows too large; matrix products inside the tasks are 10 to 40 times faster
+# (190 pairs over 600,000 rows: 40 s against 1.6 s).
+EXPRESSION_PAIRS = 6
+
+# Columns per side of one matrix product; wider sets are cut into blocks, each of
+# which reads only its own columns.
+BLOCK = 512
 
 
 def pearson(x: str, y: str) -> Column:
@@ -24,40 +29,48 @@ def pearson(x: str, y: str) -> Column:
     return F.try_divide(F.regr_sxy(b, a), spread)
 
 
-def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Correlation of each listed pair, in one pass: ``feature_a``, ``feature_b``, ``r``."""
-    one_row = df.agg(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), pearson(a, b).alias("r"))
-        for a, b in pairs
-    ]).alias("_pairs"))
-    return one_row.select(F.inline("_pairs"))
-
-
-def correlation_pairs(df: DataFrame, columns: Sequence[str], *, expression_pairs: int = EXPRESSION_PAIRS) -> DataFrame:
+def cross_correlations(
+    df: DataFrame, left: Sequence[str], right: Sequence[str], *, expression_pairs: int = EXPRESSION_PAIRS
+) -> DataFrame:
+    """Correlation of every left column with every right column: ``feature_a``, ``feature_b``, ``r``."""
+    left, right = list(left), list(right)
+    if len(left) * len(right) <= expression_pairs:
+        one_row = df.agg(F.array(*[
+            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), pearson(a, b).alias("r"))
+            for a in left
+            for b in right
+        ]).alias("_pairs"))
+        return one_row.select(F.inline("_pairs"))
+    blocks = [
+        _block_correlations(df, left[i : i + BLOCK], right[j : j + BLOCK])
+        for i in range(0, len(left), BLOCK)
+        for j in range(0, len(right), BLOCK)
+    ]
+    return reduce(DataFrame.unionByName, blocks)
+
+
+def correlation_pairs(
+    df: DataFrame, columns: Sequence[str], *, expression_pairs: int = EXPRESSION_PAIRS
+) -> DataFrame:
     """Upper triangle of the correlation matrix: positions, names and ``r``."""
     columns = list(columns)
-    pairs = list(combinations(columns, 2))
-    if len(pairs) > expression_pairs:
-        return _summed_pairs(df, columns)
-    place = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(i))])
-    return pair_correlations(df, pairs).select(
-        place[F.col("feature_a")].alias("position_a"),
-        place[F.col("feature_b")].alias("position_b"),
+    listed = F.array(*[F.lit(c) for c in columns])
+    crossed = cross_correlations(df, columns, columns, expression_pairs=expression_pairs)
+    return crossed.select(
+        (F.array_position(listed, F.col("feature_a")) - 1).cast("int").alias("position_a"),
+        (F.array_position(listed, F.col("feature_b")) - 1).cast("int").alias("position_b"),
         "feature_a", "feature_b", "r",
-    )
+    ).where("position_a < position_b")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The full matrix in long form, both triangles and the diagonal."""
-    upper = correlation_pairs(df, columns).select("feature_a", "feature_b", "r")
-    lower = upper.select(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), "r")
-    diagonal = pair_correlations(df, [(c, c) for c in columns])
-    return upper.unionByName(lower).unionByName(diagonal)
+    return cross_correlations(df, columns, columns)
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Absolute correlation of each feature with the target: ``feature``, ``abs_r``."""
-    return pair_correlations(df, [(c, target) for c in columns]).select(
+    return cross_correlations(df, columns, [target]).select(
         F.col("feature_a").alias("feature"), F.abs("r").alias("abs_r")
     )
 
@@ -71,32 +84,37 @@ def redundant_features(pairs: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _summed_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pair sums of many columns: masked matrix products per Arrow batch, added by Spark.
+def _block_correlations(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
+    """Pair sums as masked matrix products per Arrow batch; Spark adds them over the tasks.
 
-    Values are centred first so that the sums of squares keep their digits.
+    Values are centred first so that the sums of squares keep their digits. Each
+    task emits one row per pair, however many rows it read.
     """
+    columns = list(dict.fromkeys([*left, *right]))
     centre = df.agg(*[F.coalesce(F.avg(number(quoted(c))), F.lit(0.0)) for c in columns]).first()
     shift = np.array(centre, dtype=float)
-    upper = np.triu_indices(len(columns), 1)
+    at_left = [columns.index(c) for c in left]
+    at_right = [columns.index(c) for c in right]
+    i, j = (g.ravel() for g in np.meshgrid(range(len(left)), range(len(right)), indexing="ij"))
     names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
     def sums(batches):
         total = None
         for pdf in batches:
-            x = pdf.to_numpy(dtype=float, na_value=np.nan) - shift
-            mask = (~np.isnan(x)).astype(float)
-            x = np.nan_to_num(x)
-            square = x * x
-            part = [mask.T @ mask, x.T @ mask, mask.T @ x, square.T @ mask, mask.T @ square, x.T @ x]
-            part = np.stack([m[upper] for m in part])
+            values = pdf.to_numpy(dtype=float, na_value=np.nan) - shift
+            known = (~np.isnan(values)).astype(float)
+            values = np.nan_to_num(values)
+            x, y = values[:, at_left], values[:, at_right]
+            in_x, in_y = known[:, at_left], known[:, at_right]
+            products = [in_x.T @ in_y, x.T @ in_y, in_x.T @ y, (x * x).T @ in_y, in_x.T @ (y * y), x.T @ y]
+            part = np.stack([m.ravel() for m in products])
             total = part if total is None else total + part
         if total is not None:
-            yield pd.DataFrame({"i": upper[0], "j": upper[1], **dict(zip(names, total))})
+            yield pd.DataFrame({"i": i, "j": j, **dict(zip(names, total))})
 
     schema = "i int, j int, " + ", ".join(f"{n} double" for n in names)
     added = (
-        df.select(*[number(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+        df.select(*[number(quoted(c)).alias(f"c{k}") for k, c in enumerate(columns)])
         .mapInPandas(sums, schema)
         .groupBy("i", "j")
         .agg(*[F.sum(n).alias(n) for n in names])
@@ -106,11 +124,8 @@ def _summed_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     sxy = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
     # Rounding leaves a constant column with a tiny spread instead of zero.
     spread = F.when((sxx > 1e-12 * F.col("sxx")) & (syy > 1e-12 * F.col("syy")), F.sqrt(sxx) * F.sqrt(syy))
-    listed = F.array(*[F.lit(c) for c in columns])
     return added.select(
-        F.col("i").alias("position_a"),
-        F.col("j").alias("position_b"),
-        listed[F.col("i")].alias("feature_a"),
-        listed[F.col("j")].alias("feature_b"),
+        F.array(*[F.lit(c) for c in left])[F.col("i")].alias("feature_a"),
+        F.array(*[F.lit(c) for c in right])[F.col("j")].alias("feature_b"),
         F.try_divide(sxy, spread).alias("r"),
     )

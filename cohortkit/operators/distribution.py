@@ -64,8 +64,10 @@ def _histograms(df: DataFrame, column: str, bins: int, target: str | None, class
         .groupBy("class", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    # The bins come from the same ranges, which Spark computes once.
     grid = (
-        ranges.select("class", span.alias("_span"))
+        df.sparkSession.range(1)
+        .select(F.explode(spans).alias("class", "_span"))
         .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
         .withColumn("_step", (F.col("_span.hi") - F.col("_span.lo")) / bins)
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cohortkit import domain
 from cohortkit.functions.columns import count_if
 from cohortkit.operators.ordering import running
+from cohortkit.session import materialise
 
 
 def classify(df: DataFrame, threshold: float = domain.DECISION_THRESHOLD) -> DataFrame:
@@ -42,7 +43,8 @@ def score_counts(predictions: DataFrame) -> DataFrame:
 
 
 def _cumulative(predictions: DataFrame) -> DataFrame:
-    counts = score_counts(predictions)
+    # The running totals read the counts several times; the predictions are read once.
+    counts = materialise(score_counts(predictions), "score-counts")
     totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
     return running(
         counts, "score", {"tp": ("sum", "pos"), "fp": ("sum", "neg")}, descending=True

@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from cohortkit import domain
 from cohortkit.functions.columns import count_if, number, one_hot_code, quoted
 from cohortkit.functions.tails import chi2_p, t_p
-from cohortkit.operators.ordering import running
-
-# Fewer tests than this are adjusted in one window; more go through running totals.
-WINDOW_TESTS = 100_000
+from cohortkit.operators.ordering import WINDOW_ROWS, running
+from cohortkit.session import materialise
 
 
 def level_counts(
@@ -137,35 +135,41 @@ def welch_test(
 
 
 def fdr_adjust(
-    tests: DataFrame, p: str = "p_value", *, alpha: float = domain.ALPHA, n_tests: int | None = None
+    tests: DataFrame,
+    p: str = "p_value",
+    *,
+    alpha: float = domain.ALPHA,
+    n_tests: int | None = None,
+    direct_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Add Benjamini-Hochberg ``p_fdr`` and ``significant``; undefined p-values take no part.
 
-    ``n_tests``, if the caller knows a bound on the rows, allows the short plan
-    with one window; otherwise ranks and minima come from running totals.
+    ``n_tests`` is a bound on the rows if the caller knows one; otherwise the tests
+    are written once and counted. Many tests get their ranks and minima from
+    running totals over the distinct p-values.
     """
-    known = tests.where(quoted(p).isNotNull())
-    if n_tests is not None and n_tests <= WINDOW_TESTS:
+    if n_tests is None:
+        tests = materialise(tests, "tests")
+        n_tests = tests.count()
+    if n_tests <= direct_rows:
         everything = Window.partitionBy()
-        rank = F.row_number().over(everything.orderBy(p))
-        scaled = F.when(quoted(p).isNotNull(), quoted(p) * F.count(quoted(p)).over(everything) / F.col("_rank"))
+        place = everything.orderBy(F.asc_nulls_last(p))
         suffix = everything.orderBy(F.desc("_rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         adjusted = (
-            tests.withColumn("_rank", rank - F.count(F.when(quoted(p).isNull(), 1)).over(everything))
-            .withColumn("_scaled", scaled)
+            tests.withColumn("_rank", F.row_number().over(place))
+            .withColumn("_scaled", quoted(p) * F.count(quoted(p)).over(everything) / F.col("_rank"))
             .withColumn("p_fdr", F.when(quoted(p).isNotNull(), F.least(F.lit(1.0), F.min("_scaled").over(suffix))))
             .drop("_rank", "_scaled")
         )
     else:
-        ties = known.groupBy(quoted(p).alias("_p")).agg(F.count(F.lit(1)).alias("_ties"))
-        total = known.agg(F.count(F.lit(1))).scalar()
-        ranked = running(ties, "_p", {"_rank": ("sum", "_ties")})
-        scaled = ranked.select("_p", (F.col("_p") * total / F.col("_rank")).alias("_scaled"))
-        lowest = running(scaled, "_p", {"_low": ("min", "_scaled")}, descending=True)
-        adjusted = (
-            tests.join(lowest.select("_p", F.least(F.lit(1.0), F.col("_low")).alias("p_fdr")), quoted(p) == F.col("_p"), "left")
-            .drop("_p")
-        )
+        known = tests.where(quoted(p).isNotNull())
+        total = known.count()
+        ties = materialise(known.groupBy(quoted(p).alias("_p")).agg(F.count(F.lit(1)).alias("_ties")), "p-values")
+        ranked = running(ties, "_p", {"_rank": ("sum", "_ties")}, direct_rows=direct_rows)
+        scaled = materialise(ranked.select("_p", (F.col("_p") * total / F.col("_rank")).alias("_scaled")), "scaled")
+        lowest = running(scaled, "_p", {"_low": ("min", "_scaled")}, descending=True, direct_rows=direct_rows)
+        lowest = lowest.select("_p", F.least(F.lit(1.0), F.col("_low")).alias("p_fdr"))
+        adjusted = tests.join(lowest, quoted(p) == F.col("_p"), "left").drop("_p")
     return adjusted.withColumn("significant", F.coalesce(F.col("p_fdr") <= alpha, F.lit(False)))
 
 

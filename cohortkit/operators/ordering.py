@@ -19,6 +19,9 @@ from cohortkit.session import broadcast_if_small
 # then has a known bound. Above it the column is narrowed by counting first.
 DIRECT_ROWS = 5_000_000
 
+# Up to this many rows one window may order them all.
+WINDOW_ROWS = 1_000_000
+
 _COMBINE = {
     "sum": (F.sum, lambda before, inside: F.coalesce(before, F.lit(0)) + inside),
     "min": (F.min, lambda before, inside: F.least(before, inside)),
@@ -33,14 +36,29 @@ def running(
     *,
     by: Sequence[str] = (),
     descending: bool = False,
+    rows: int | None = None,
+    direct_rows: int = WINDOW_ROWS,
     buckets: int = 256,
 ) -> DataFrame:
     """Running sum, min or max of columns along ``order``.
 
     ``outputs`` maps a new column to ``(kind, column)``. Values of ``order`` must
-    be distinct within ``by`` (aggregate first). Bucket bounds come from a
-    quantile sketch of ``order``; a poor sketch costs balance, not correctness.
+    be distinct within ``by`` (aggregate first). ``df`` is read several times, so it
+    should be a written table; its rows are counted unless given as ``rows``. Few
+    rows take one window; many are cut into buckets by a quantile sketch of
+    ``order``, where a poor sketch costs balance, not correctness.
     """
+    direction = F.desc if descending else F.asc
+    if (df.count() if rows is None else rows) <= direct_rows:
+        along = (
+            Window.partitionBy(*by)
+            .orderBy(direction(order))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        return df.select(
+            *[quoted(c) for c in df.columns],
+            *[_COMBINE[kind][0](column).over(along).alias(out) for out, (kind, column) in outputs.items()],
+        )
     marks = [i / buckets for i in range(1, buckets)]
     bounds = df.agg(F.percentile_approx(order, marks, 10_000)).scalar()
     placed = (
@@ -52,7 +70,6 @@ def running(
     totals = placed.groupBy(*by, "_bucket").agg(
         *[kinds[out][0](column).alias(f"_total_{out}") for out, (_, column) in outputs.items()]
     )
-    direction = F.desc if descending else F.asc
     earlier = (
         Window.partitionBy(*by)
         .orderBy(direction("_bucket"))

@@ -46,7 +46,7 @@ def valid_dosages(df: DataFrame, column: str) -> DataFrame:
 
 
 def snp_quality(df: DataFrame, snps: Sequence[str]) -> DataFrame:
-    """Per SNP: missing rate, unfolded allele frequency, mean dosage, and what the filters keep.
+    """Per SNP: missing rate, unfolded allele frequency, mean and invalid dosages, and what the filters keep.
 
     One aggregate over the table; the result has one row per SNP column.
     """
@@ -55,6 +55,7 @@ def snp_quality(df: DataFrame, snps: Sequence[str]) -> DataFrame:
             F.struct(
                 F.avg(number(quoted(c)).isNull().cast("int")).alias("missing_rate"),
                 F.avg(number(quoted(c))).alias("mean_dosage"),
+                count_if(~number(quoted(c)).isin(*domain.DOSAGES)).alias("invalid"),
             ).alias(c)
             for c in snps
         ]
@@ -68,7 +69,7 @@ def snp_quality(df: DataFrame, snps: Sequence[str]) -> DataFrame:
     low_missing = F.coalesce(F.col("missing_rate") <= domain.MAX_MISSING_RATE, F.lit(False))
     frequent = F.coalesce(F.col("allele_frequency") >= domain.MIN_ALLELE_FREQUENCY, F.lit(False))
     return (
-        rows.select("position", "snp", "s.missing_rate", "s.mean_dosage")
+        rows.select("position", "snp", "s.missing_rate", "s.mean_dosage", "s.invalid")
         .withColumn("allele_frequency", F.col("mean_dosage") / 2)
         .withColumn("passes_missing", low_missing)
         .withColumn("passes_frequency", frequent)

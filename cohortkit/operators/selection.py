@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit import domain
-from cohortkit.functions.columns import number, quoted
 from cohortkit.operators import columns as cols
 from cohortkit.operators.correlation import (
     correlation_pairs,
-    pearson,
     redundant_features,
     target_correlations,
 )
+from cohortkit.operators.snp import dosage_variance
 
 LOG_SCHEMA = "family string, feature string, status string, reason string, rank int, thresholds map<string,double>"
 
@@ -31,19 +30,15 @@ def snp_filter_chain(df: DataFrame, snps: Sequence[str], target: str, thresholds
 
     An undefined value fails. Redundancy among the survivors is a separate step.
     """
-    one_row = df.agg(*[
-        F.struct(
-            F.var_samp(number(quoted(c))).alias("variance"), F.abs(pearson(c, target)).alias("abs_r")
-        ).alias(c)
-        for c in snps
-    ])
-    rows = one_row.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("position"), F.lit(c).alias("snp"), quoted(c).alias("s"))
-        for i, c in enumerate(snps)
-    ])))
-    varied = F.coalesce(F.col("s.variance") >= thresholds["snp_variance_threshold"], F.lit(False))
-    linked = F.coalesce(F.col("s.abs_r") >= thresholds["snp_target_corr_threshold"], F.lit(False))
-    return rows.select("position", "snp", "s.variance", "s.abs_r", (varied & linked).alias("passes"))
+    listed = F.array(*[F.lit(c) for c in snps])
+    rows = (
+        dosage_variance(df, snps)
+        .join(target_correlations(df, snps, target).withColumnRenamed("feature", "snp"), "snp")
+        .withColumn("position", (F.array_position(listed, F.col("snp")) - 1).cast("int"))
+    )
+    varied = F.coalesce(F.col("variance") >= thresholds["snp_variance_threshold"], F.lit(False))
+    linked = F.coalesce(F.col("abs_r") >= thresholds["snp_target_corr_threshold"], F.lit(False))
+    return rows.select("position", "snp", "variance", "abs_r", (varied & linked).alias("passes"))
 
 
 @dataclass

@@ -23,7 +23,7 @@ from cohortkit.operators.training import score
 from cohortkit.plans.featurize import build_features
 from cohortkit.plans.store import CohortStore
 from cohortkit.session import materialise
-from cohortkit.sources.writers import append_feature_store, append_table
+from cohortkit.sources.writers import append_feature_store, append_table, keys_present
 
 CONSENTS = ["consent_raw", "consent_integrate", "consent_retrain"]
 
@@ -77,7 +77,7 @@ def check_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore) -> Da
     checked = batch.withColumn("errors", arrival_errors(batch, scoring)).join(repeated, key)
     extra = [F.when(F.col("_repeated"), "patient occurs twice in the batch")]
     if spark.catalog.tableExists(store.phenotypes):
-        stored = spark.table(store.phenotypes).select(key).withColumn("_stored", F.lit(True))
+        stored = keys_present(spark.table(store.phenotypes), batch).withColumn("_stored", F.lit(True))
         checked = checked.join(stored, key, "left")
         extra.append(F.when(F.col("_stored") & quoted("consent_raw"), "patient is already stored"))
     return checked.withColumn("errors", F.concat("errors", F.array_compact(F.array(*extra)))).drop(
@@ -153,4 +153,4 @@ def _absent(rows: DataFrame, name: str, key: str) -> DataFrame:
     spark = rows.sparkSession
     if not spark.catalog.tableExists(name):
         return rows
-    return rows.join(spark.table(name).select(key), key, "left_anti")
+    return rows.join(keys_present(spark.table(name), rows, key), key, "left_anti")

@@ -55,8 +55,21 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the scratch folder."""
-    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path under this application's part of the scratch folder."""
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_scratch(spark: SparkSession) -> str:
+    app = spark.conf.get("spark.app.id", None) or "session"
+    return f"{scratch_root(spark).rstrip('/')}/cohortkit-{app}"
+
+
+def release_scratch(spark: SparkSession) -> bool:
+    """Delete what this application left in the scratch folder; call it when its results are written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

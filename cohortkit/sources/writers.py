@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortkit import domain
 from cohortkit.operators.columns import require_columns
 from cohortkit.operators.selection import Selection
+from cohortkit.session import broadcast_if_small
 from cohortkit.sources.readers import PREDICTION_COLUMNS, table_exists
 
 
@@ -22,13 +24,22 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_table(df: DataFrame, name: str, *, buckets: int | None = None, key: str = domain.KEY, folder: str | None = None) -> None:
+def replace_table(
+    df: DataFrame,
+    name: str,
+    *,
+    buckets: int | None = None,
+    key: str = domain.KEY,
+    folder: str | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+) -> None:
     """Replace a table as a whole, also when ``df`` reads that table.
 
-    The new content is written under another name first and then renamed, so a
-    failed job leaves the old table. ``buckets`` stores it bucketed by the key:
-    joins of tables with equal buckets need no shuffle. ``folder`` places the
-    files there instead of in the warehouse.
+    The new content is written under another name, passes ``check`` (which reads
+    the written table, so nothing is computed twice) and is then renamed; if the
+    job or the check fails, the old table stays. ``buckets`` stores it bucketed
+    by the key: joins of tables with equal buckets need no shuffle. ``folder``
+    places the files there instead of in the warehouse.
     """
     spark = df.sparkSession
     staged = f"{name}__{uuid.uuid4().hex[:8]}"
@@ -38,10 +49,25 @@ def replace_table(df: DataFrame, name: str, *, buckets: int | None = None, key:
     if folder:
         writer = writer.option("path", f"{folder.rstrip('/')}/{staged}")
     writer.saveAsTable(staged)
+    if check:
+        try:
+            check(spark.table(staged))
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            raise
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
 
 
+def keys_present(stored: DataFrame, batch: DataFrame, key: str = domain.KEY) -> DataFrame:
+    """Keys of ``batch`` that ``stored`` holds.
+
+    A batch counted small is broadcast, so a large store is filtered where it
+    lies, reading the key column only.
+    """
+    return stored.select(key).join(broadcast_if_small(batch.select(key).distinct()), key, "left_semi").distinct()
+
+
 def append_table(df: DataFrame, name: str, *, folder: str | None = None) -> None:
     """Append rows, matching columns by name; creates the table if it is missing."""
     spark = df.sparkSession

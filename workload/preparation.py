@@ -141,7 +141,7 @@ def clean_phenotypes(spark, folder):
 @query("clean_phenotypes_fitted", f"SELECT {CLEAN_SELECT} FROM clean")
 def clean_phenotypes_fitted(spark, folder):
     raw = view(spark, folder, "pheno")
-    clean = cleaning.clean_phenotypes(raw, cleaning.fit_phenotypes(raw))
+    clean = cleaning.clean_phenotypes(raw, cleaning.fit_phenotypes(cleaning.prepare_phenotypes(raw)))
     return rounded(clean.select(*CLEAN_COLUMNS), 5, "bmi", "hba1c_level")
 
 
