@@ -39,7 +39,10 @@ def plain_path(path: Column) -> Column:
 
 
 def file_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    """Path and length of every file below a folder; contents are not read."""
+    """Path and length of every file below a folder; contents are not read.
+
+    Spark's file scan leaves empty files out, so an empty file looks like a missing one.
+    """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     return listing.select(plain_path(F.col("path")).alias("path"), "length")
 
@@ -85,9 +88,7 @@ def validate_manifest(
     ]
     if sizes is not None:
         checked = checked.join(sizes.select("path", F.col("length").alias("_length")), "path", "left")
-        errors.append(
-            F.when(F.col("_length").isNull(), "file does not exist").when(F.col("_length") == 0, "file is empty")
-        )
+        errors.append(F.when(F.coalesce(F.col("_length"), F.lit(0)) == 0, "file is missing or empty"))
     if contents is not None:
         checked = checked.join(
             contents.select("path", F.col("header").alias("_header"), F.col("n_rows").alias("_n_rows")), "path", "left"

@@ -324,7 +324,7 @@ def upload_format_check(spark, folder):
 
 @query(
     "upload_file_presence",
-    "SELECT c_mktsegment AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'file does not exist' ELSE '' END AS problem "
+    "SELECT c_mktsegment AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'file is missing or empty' ELSE '' END AS problem "
     "FROM customer GROUP BY c_mktsegment",
 )
 def upload_file_presence(spark, folder):
@@ -341,7 +341,7 @@ def upload_file_presence(spark, folder):
     )
     sizes = listing.groupBy("name").agg(F.sum("length").alias("length")).withColumnRenamed("name", "path")
     found = manifest.validate_manifest(uploads, sizes)
-    missing = F.array_intersect("errors", F.array(F.lit("file does not exist"), F.lit("file is empty")))
+    missing = F.array_intersect("errors", F.array(F.lit("file is missing or empty")))
     return found.select("name", F.array_join(missing, "; ").alias("problem"))
 
 
