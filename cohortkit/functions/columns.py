@@ -23,8 +23,14 @@ def quoted(name: str) -> Column:
 
 def number(column: Column | str) -> Column:
     """Double, or null where the text is no number; NaN is null too."""
-    value = (F.col(column) if isinstance(column, str) else column).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    value = F.col(column) if isinstance(column, str) else column
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
+
+
+def number_sql(name: str) -> str:
+    """``number`` as SQL text, which is quicker to build for tables with very many columns."""
+    safe = name.replace("`", "``")
+    return f"nanvl(try_cast(`{safe}` AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
 def registry_timestamp(column: Column | str) -> Column:

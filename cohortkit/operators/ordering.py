@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.functions.columns import bucket_of, number, quoted
+from cohortkit.functions.columns import bucket_of, number_sql, quoted
 from cohortkit.session import broadcast_if_small
 
 # Up to this many rows in all, Spark's own ``percentile`` is used: its value map
@@ -99,11 +99,9 @@ def running(
 
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """One row per (row, column): ``keep``, ``feature``, ``value`` as double; nulls dropped."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("feature"), number(quoted(c)).alias("value")) for c in columns]
-    )
+    pairs = ", ".join(f"named_struct('feature', '{c}', 'value', {number_sql(c)})" for c in columns)
     return (
-        df.select(*[quoted(k) for k in keep], F.explode(pairs).alias("_pair"))
+        df.select(*[quoted(k) for k in keep], F.explode(F.expr(f"array({pairs})")).alias("_pair"))
         .select(*[quoted(k) for k in keep], "_pair.feature", "_pair.value")
         .where(F.col("value").isNotNull())
     )

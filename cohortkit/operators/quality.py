@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit import domain
-from cohortkit.functions.columns import count_if, number, quoted, registry_timestamp
+from cohortkit.functions.columns import count_if, number, number_sql, quoted, registry_timestamp
 from cohortkit.operators.ordering import exact_quantiles
 
 
@@ -50,27 +50,16 @@ def snp_quality(df: DataFrame, snps: Sequence[str]) -> DataFrame:
 
     One aggregate over the table; the result has one row per SNP column.
     """
-    one_row = df.agg(
-        *[
-            F.struct(
-                F.avg(number(quoted(c)).isNull().cast("int")).alias("missing_rate"),
-                F.avg(number(quoted(c))).alias("mean_dosage"),
-                count_if(~number(quoted(c)).isin(*domain.DOSAGES)).alias("invalid"),
-            ).alias(c)
-            for c in snps
-        ]
-    )
-    rows = one_row.select(
-        F.inline(F.array(*[
-            F.struct(F.lit(i).alias("position"), F.lit(c).alias("snp"), quoted(c).alias("s"))
-            for i, c in enumerate(snps)
-        ]))
+    measures = (
+        "named_struct('position', {i}, 'snp', '{c}', 'missing_rate', try_divide(count(1) - count({x}), count(1)), "
+        "'mean_dosage', avg({x}), 'invalid', count_if({x} NOT IN (0D, 1D, 2D)))"
     )
+    per_snp = [measures.format(i=i, c=c, x=number_sql(c)) for i, c in enumerate(snps)]
+    rows = df.selectExpr(f"array({', '.join(per_snp)}) AS _snps").select(F.inline("_snps"))
     low_missing = F.coalesce(F.col("missing_rate") <= domain.MAX_MISSING_RATE, F.lit(False))
     frequent = F.coalesce(F.col("allele_frequency") >= domain.MIN_ALLELE_FREQUENCY, F.lit(False))
     return (
-        rows.select("position", "snp", "s.missing_rate", "s.mean_dosage", "s.invalid")
-        .withColumn("allele_frequency", F.col("mean_dosage") / 2)
+        rows.withColumn("allele_frequency", F.col("mean_dosage") / 2)
         .withColumn("passes_missing", low_missing)
         .withColumn("passes_frequency", frequent)
         .withColumn("kept", F.col("passes_missing") & F.col("passes_frequency"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit import domain
-from cohortkit.functions.columns import number, quoted
+from cohortkit.functions.columns import number_sql, quoted
 from cohortkit.functions.tails import chi2_p
 from cohortkit.operators.distribution import histogram
 from cohortkit.operators.hypothesis import chi_square, fdr_adjust
@@ -29,8 +29,8 @@ def snps_or_raise(df: DataFrame, prefix: str = domain.SNP_PREFIX) -> list[str]:
 
 def to_long(df: DataFrame, snps: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """One row per (row, SNP), null dosages included: ``keep``, ``snp``, ``dosage``."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("snp"), number(quoted(c)).alias("dosage")) for c in snps])
-    return df.select(*[quoted(k) for k in keep], F.explode(pairs).alias("_p")).select(
+    pairs = ", ".join(f"named_struct('snp', '{c}', 'dosage', {number_sql(c)})" for c in snps)
+    return df.select(*[quoted(k) for k in keep], F.explode(F.expr(f"array({pairs})")).alias("_p")).select(
         *[quoted(k) for k in keep], "_p.snp", "_p.dosage"
     )
 
@@ -50,15 +50,12 @@ def snp_cube(df: DataFrame, target: str = domain.TARGET, snps: Sequence[str] | N
 def snp_moments(df: DataFrame, snps: Sequence[str] | None = None) -> DataFrame:
     """Folded allele frequency and sample variance per SNP, straight from the wide columns."""
     snps = list(snps or snps_or_raise(df))
-    one_row = df.agg(*[
-        F.struct(F.avg(number(quoted(c))).alias("m"), F.var_samp(number(quoted(c))).alias("variance")).alias(c)
-        for c in snps
-    ])
-    rows = one_row.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("snp"), quoted(c).alias("s")) for c in snps]))
+    per_snp = ", ".join(
+        f"named_struct('snp', '{c}', 'm', avg({number_sql(c)}), 'variance', var_samp({number_sql(c)}))" for c in snps
     )
-    p = F.col("s.m") / 2
-    return rows.select("snp", F.least(p, 1 - p).alias("maf"), F.col("s.variance").alias("variance"))
+    rows = df.selectExpr(f"array({per_snp}) AS _snps").select(F.inline("_snps"))
+    p = F.col("m") / 2
+    return rows.select("snp", F.least(p, 1 - p).alias("maf"), "variance")
 
 
 def minor_allele_frequency(df: DataFrame, snps: Sequence[str] | None = None) -> DataFrame:
