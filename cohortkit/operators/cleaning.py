@@ -19,7 +19,7 @@ from cohortkit.functions.columns import normal_name, number, one_hot_code, quote
 from cohortkit.operators import columns as cols
 from cohortkit.operators import quality
 from cohortkit.operators.ordering import WINDOW_ROWS, exact_quantiles, running
-from cohortkit.session import materialise
+from cohortkit.session import materialise, scratch_path
 
 # Label sets up to this length are applied as a literal list, longer ones by a join.
 LITERAL_LABELS = 1000
@@ -91,15 +91,18 @@ def label_codes(df: DataFrame, column: str, *, direct_rows: int = WINDOW_ROWS) -
     )
 
 
-def label_encode(df: DataFrame, column: str, labels: Sequence[str] | None = None) -> DataFrame:
+def label_encode(
+    df: DataFrame, column: str, labels: Sequence[str] | None = None, codes: DataFrame | None = None
+) -> DataFrame:
     """Replace a text column by the rank of its value among the sorted labels.
 
-    With fitted ``labels``, unseen values become null.
+    Fitted ``labels`` (few) or ``codes`` (a table of any length) may be given;
+    values that they lack become null.
     """
     if labels is not None:
         position = F.array_position(F.array(*[F.lit(v) for v in sorted(labels)]), quoted(column))
         return df.withColumn(column, F.nullif(position.cast("int"), F.lit(0)) - 1)
-    codes = label_codes(df, column)
+    codes = label_codes(df, column) if codes is None else codes
     coded = df.join(codes, quoted(column).cast("string") == codes["value"], "left")
     return coded.select(*[F.col("code").alias(c) if c == column else df[f"`{c}`"] for c in df.columns])
 
@@ -128,7 +131,8 @@ class PhenotypeFit:
     """Cohort statistics that phenotype cleaning needs again for new patients."""
 
     medians: dict[str, float] = field(default_factory=dict)
-    genders: list[str] = field(default_factory=list)
+    genders: list[str] | None = None
+    gender_codes: str | None = None  # path of the codes, where they are too many for a list
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -163,13 +167,19 @@ def prepare_phenotypes(raw: DataFrame) -> DataFrame:
     return fill_constant(drop_duplicate_rows(named), domain.TEXT_FILL)
 
 
-def fit_phenotypes(ready: DataFrame) -> PhenotypeFit:
-    """Medians and gender labels of prepared phenotypes (reads one row per column and per label)."""
+def fit_phenotypes(ready: DataFrame, codes_path: str | None = None) -> PhenotypeFit:
+    """Medians and gender labels of prepared phenotypes (reads one row per column and per label).
+
+    A label set too long for a list is written to ``codes_path`` (by default in the
+    scratch folder) and joined when it is applied.
+    """
     medians = {r["feature"]: r["median"] for r in column_medians(ready, domain.MEDIAN_FILL).collect()}
     labels = ready.select("gender").distinct().limit(LITERAL_LABELS + 1).collect()
-    if len(labels) > LITERAL_LABELS:
-        raise ValueError("gender is not a category: too many distinct values; use label_encode")
-    return PhenotypeFit(medians, sorted(r["gender"] for r in labels))
+    if len(labels) <= LITERAL_LABELS:
+        return PhenotypeFit(medians, sorted(r["gender"] for r in labels))
+    codes_path = codes_path or scratch_path(ready.sparkSession, "gender-codes")
+    label_codes(ready, "gender").write.parquet(codes_path)
+    return PhenotypeFit(medians, None, codes_path)
 
 
 def phenotype_violations(clean: DataFrame) -> DataFrame:
@@ -187,7 +197,8 @@ def encode_phenotypes(ready: DataFrame, fit: PhenotypeFit | None = None) -> Data
         filled = ready.withColumns(
             {c: F.coalesce(number(quoted(c)), F.lit(fit.medians.get(c))) for c in domain.MEDIAN_FILL}
         )
-        filled = label_encode(filled, "gender", fit.genders)
+        codes = ready.sparkSession.read.parquet(fit.gender_codes) if fit.gender_codes else None
+        filled = label_encode(filled, "gender", fit.genders, codes)
     coded = one_hot(
         restrict_categories(filled, "smoking_history", domain.SMOKING_ANSWERS),
         "smoking_history",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortkit import domain
 from cohortkit.functions.columns import count_if, number, number_sql, quoted, registry_timestamp
 from cohortkit.operators.ordering import exact_quantiles
+from cohortkit.session import broadcast_if_small
 
 
 def drop_null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -135,15 +136,26 @@ def date_error(column: Column) -> Column:
     return F.when(bad, F.lit("registry_date must be in YYYY-MM-DD format"))
 
 
+def keys_present(stored: DataFrame, batch: DataFrame, key: str = domain.KEY) -> DataFrame:
+    """Keys of ``batch`` that ``stored`` holds.
+
+    A batch counted small is broadcast, so a large store is filtered where it
+    lies, reading the key column only.
+    """
+    return stored.select(key).join(broadcast_if_small(batch.select(key).distinct()), key, "left_semi").distinct()
+
+
 def already_stored(requests: DataFrame, stored: DataFrame, key: str = domain.KEY, consent: str = "consent_raw") -> DataFrame:
     """Requests rejected because raw storage already holds the patient."""
-    return requests.where(quoted(consent)).join(stored.select(key), key, "left_semi")
+    asked = requests.where(quoted(consent))
+    return asked.join(keys_present(stored, asked, key), key, "left_semi")
 
 
 def not_yet_stored(requests: DataFrame, stored: DataFrame, key: str = domain.KEY, consent: str = "consent_raw") -> DataFrame:
     """Requests that go on: new patients, and those without raw-storage consent."""
-    asked = requests.where(quoted(consent)).join(stored.select(key), key, "left_anti")
-    return asked.unionByName(requests.where(~F.coalesce(quoted(consent), F.lit(False))))
+    asked = requests.where(quoted(consent))
+    new = asked.join(keys_present(stored, asked, key), key, "left_anti")
+    return new.unionByName(requests.where(~F.coalesce(quoted(consent), F.lit(False))))
 
 
 def flag_outliers(df: DataFrame, column: str, flag: str = "is_outlier") -> DataFrame:

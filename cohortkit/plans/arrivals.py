@@ -17,13 +17,13 @@ from cohortkit import domain
 from cohortkit.functions.columns import normal_name, number, quoted, registry_timestamp
 from cohortkit.operators import columns as cols
 from cohortkit.operators.cleaning import GenotypeFit, PhenotypeFit, clean_genotypes, clean_phenotypes
-from cohortkit.operators.quality import consent_errors, date_error
+from cohortkit.operators.quality import consent_errors, date_error, keys_present
 from cohortkit.operators.selection import Selection
 from cohortkit.operators.training import score
 from cohortkit.plans.featurize import build_features
 from cohortkit.plans.store import CohortStore
 from cohortkit.session import materialise
-from cohortkit.sources.writers import append_feature_store, append_table, keys_present
+from cohortkit.sources.writers import append_feature_store, append_table
 
 CONSENTS = ["consent_raw", "consent_integrate", "consent_retrain"]
 

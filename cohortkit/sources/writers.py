@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from cohortkit import domain
 from cohortkit.operators.columns import require_columns
 from cohortkit.operators.selection import Selection
-from cohortkit.session import broadcast_if_small
 from cohortkit.sources.readers import PREDICTION_COLUMNS, table_exists
 
 
@@ -59,15 +58,6 @@ def replace_table(
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
 
 
-def keys_present(stored: DataFrame, batch: DataFrame, key: str = domain.KEY) -> DataFrame:
-    """Keys of ``batch`` that ``stored`` holds.
-
-    A batch counted small is broadcast, so a large store is filtered where it
-    lies, reading the key column only.
-    """
-    return stored.select(key).join(broadcast_if_small(batch.select(key).distinct()), key, "left_semi").distinct()
-
-
 def append_table(df: DataFrame, name: str, *, folder: str | None = None) -> None:
     """Append rows, matching columns by name; creates the table if it is missing."""
     spark = df.sparkSession

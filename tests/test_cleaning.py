@@ -59,6 +59,19 @@ def test_fitted_state_codes_one_new_row_like_the_cohort(spark):
     assert unseen.first()["gender"] is None
 
 
+def test_long_label_sets_are_fitted_as_a_table(spark, monkeypatch):
+    cohort = pheno_rows(spark, [{"patient_id": i, "gender": g} for i, g in enumerate("dbca")])
+    ready = cleaning.prepare_phenotypes(cohort)
+    listed = cleaning.fit_phenotypes(ready)
+    monkeypatch.setattr(cleaning, "LITERAL_LABELS", 3)
+    fit = cleaning.PhenotypeFit.from_json(cleaning.fit_phenotypes(ready).to_json())
+    assert fit.genders is None and fit.gender_codes
+    new = pheno_rows(spark, [{"patient_id": i, "gender": g} for i, g in enumerate("cz")])
+    for f in (fit, listed):
+        rows = cleaning.encode_phenotypes(cleaning.prepare_phenotypes(new), f).collect()
+        assert {r["patient_id"]: r["gender"] for r in rows} == {0: 2, 1: None}
+
+
 def test_out_of_range_and_missing_columns_raise(spark):
     with pytest.raises(ValueError, match="bmi"):
         cleaning.clean_phenotypes(pheno_rows(spark, [{"bmi": 9.0}]))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cohortkit import domain
 from cohortkit.operators import quality
 from cohortkit.plans import analysis
+from cohortkit.plans.ingest import ingest_uploads
 from cohortkit.session import broadcast_if_small, release_scratch, scratch_path
 from cohortkit.sources import manifest, readers, writers
 from tests.people import PHENO_COLUMNS, pheno_rows
@@ -80,7 +81,7 @@ def test_registry_knows_its_names(spark):
         registry.load(spark, "other")
 
 
-def test_manifest_of_real_files(spark, tmp_path):
+def test_manifest_of_real_files(spark, store, tmp_path):
     header = ",".join(PHENO_COLUMNS)
     files = {"good.csv": f"{header}\n{'1,' * 16}1\n", "norows.csv": f"{header}\n", "short.csv": "patient_id,bmi\n1,2\n", "empty.png": "", "ok.PNG": "x"}
     for name, text in files.items():
@@ -101,6 +102,11 @@ def test_manifest_of_real_files(spark, tmp_path):
     assert errors["good.CSV.exe"] == ["unsupported file format", "file is missing or empty"]
     assert errors["short.csv"][0].startswith("missing columns: year, gender")
     assert manifest.valid_uploads(checked).count() == 2
+    undated = uploads.withColumn("registry_date", F.when(F.col("path").endswith("ok.PNG"), None).otherwise(F.col("registry_date")))
+    done = ingest_uploads(undated, folder, store)
+    assert done.where("size(errors) = 0").count() == 1
+    assert done.where("path LIKE '%ok.PNG'").first()["errors"] == ["registry_date is missing"]
+    assert [r["filename"] for r in spark.table(store.audit).collect()] == ["good.csv"]
     audit = writers.audit_rows(uploads).where("filename = 'good.csv'").first()
     assert audit["is_single_patient"] and audit["uploaded_at"] is not None
 
