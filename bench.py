@@ -15,7 +15,7 @@ from workload.registry import QUERIES  # noqa: E402
 HEADLINE = [
     "numeric_summary", "missing_values", "dataset_overview", "cohort_size_by_date", "prevalence_by_year",
     "median_trend", "grouped_counts", "price_histogram", "class_histogram", "box_statistics",
-    "narrowed_box_statistics", "iqr_outliers", "distinct_rows", "median_fill", "label_encoding",
+    "iqr_outliers", "distinct_rows", "median_fill", "label_encoding",
     "clean_phenotypes", "clean_genotypes", "built_features", "cohort_join", "snp_count_cube",
     "genotype_frequencies", "correlation_matrix", "feature_selection", "chi_square_tests",
     "snp_association_scan", "welch_tests", "false_discovery_adjustment", "feature_screen",
