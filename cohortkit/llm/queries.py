@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import ordering, packing
+from cohortkit.llm import chat, decontaminate, knn, language, ordering, packing, scoring, toxicity
 from cohortkit.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,53 @@ def op5_training_order(spark, folder):
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
+
+
+def remainder(parts: int):
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query("op2_voronoi_top_k")
+def op2_voronoi_top_k(spark, folder):
+    vectors = knn.scaled(table(spark, folder, "embeddings"))
+    return knn.top_k(vectors.where("vec_id % 100 = 0"), vectors)
+
+
+@query("op3_toxicity_ftrl")
+def op3_toxicity_ftrl(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    weights = toxicity.fit(docs, table(spark, folder, "labels").where(remainder(5) != 0))
+    return toxicity.score(docs, weights).select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), F.col("toxicity").alias("score"),
+        F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query("op6_chat_windows")
+def op6_chat_windows(spark, folder):
+    tricky = spark.createDataFrame(
+        [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")],
+        "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_windows(chat.format_windows(turns.unionByName(tricky)))
+
+
+@query("op7_ngram_scores")
+def op7_ngram_scores(spark, folder):
+    held_out = remainder(5) == 1
+    _, scored = scoring.train_and_score(table(spark, folder, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op8_language")
+def op8_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(remainder(3) != 1).select("text", "lang"))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_benchmark_phrases")
+def op9_benchmark_phrases(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
