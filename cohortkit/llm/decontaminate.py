@@ -97,9 +97,9 @@ def _match(wanted: list[tuple[str | None, np.ndarray]], slop: int):
         at = np.searchsorted(values, targets - slop)
         return (at < len(values)) & (values[np.minimum(at, len(values) - 1)] <= targets + slop)
 
-    def match(frame: pd.DataFrame) -> pd.DataFrame:
+    def match(frame):
         lists = {t: np.frombuffer(p, "<u4").astype(np.int64) for t, p in zip(frame["term"], frame["postings"], strict=True) if p is not None}
-        docs = frame[frame["doc_row"].notna()].sort_values("first")
+        docs = frame[frame["doc_row"] >= 0].sort_values("first")
         first = docs["first"].to_numpy(np.int64)
         item_of, low, high = [], [], []
         for number, (_, terms) in enumerate(wanted):
@@ -159,7 +159,9 @@ def find_phrases(index: DataFrame, wanted: DataFrame, slop: int = 0, block: int
         listed = [(r["item_id"], np.array(r["terms"], np.int64)) for r in rows.collect()]
         terms = wanted.sparkSession.createDataFrame([(t,) for t in sorted({int(x) for _, ts in listed for x in ts})], "term long")
         postings = index.where("term is not null").join(terms, "term", "left_semi")
-        both = index.where("term is null").unionByName(postings).select("segment", "term", "postings", "doc_row", "first")
+        both = index.where("term is null").unionByName(postings).select(
+            # No nulls beside numbers: pandas would turn 64-bit hashes into doubles.
+            "segment", "postings", *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("term", "doc_row", "first")))
         part = both.groupBy("segment").applyInPandas(_match(listed, slop), "doc_row long, item_id string, low long, high long")
         found = part if found is None else found.unionByName(part)
     return found

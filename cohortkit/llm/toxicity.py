@@ -19,7 +19,7 @@ from cohortkit.llm.text import LETTERS, Words, mix, slices
 
 #: Most labelled rows that the fit reads, those with the smallest hash of the id.
 FIT_ROWS = 20_000
-BITS = 22
+BITS = 20
 
 
 def features(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -46,7 +46,7 @@ class Weights:
     bits: int
 
 
-def _ftrl(examples: list[np.ndarray], labels: np.ndarray, bits: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> Weights:
+def _ftrl(examples: list[np.ndarray], labels: np.ndarray, bits: int, epochs: int, alpha: float, beta: float, l1: float, l2: float, toxic_weight: float) -> Weights:
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     bias, bias_n = 0.0, 0.0
     for epoch in range(epochs):
@@ -55,6 +55,7 @@ def _ftrl(examples: list[np.ndarray], labels: np.ndarray, bits: int, epochs: int
             zi, ni = z[at], n[at]
             w = np.where(np.abs(zi) > l1, (np.sign(zi) * l1 - zi) / ((beta + np.sqrt(ni)) / alpha + l2), 0.0)
             g = 1 / (1 + np.exp(-np.clip(bias + w.sum(), -30, 30))) - labels[i]
+            g *= toxic_weight if labels[i] else 1
             z[at] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / alpha * w
             n[at] = ni + g * g
             bias_n += g * g
@@ -65,14 +66,14 @@ def _ftrl(examples: list[np.ndarray], labels: np.ndarray, bits: int, epochs: int
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, bits: int = BITS, epochs: int = 3,
-    alpha: float = 0.1, beta: float = 1.0, l1: float = 1.5, l2: float = 1.0,
+    docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, bits: int = BITS, epochs: int = 2,
+    alpha: float = 1.0, beta: float = 1.0, l1: float = 6.0, l2: float = 1.0, toxic_weight: float = 2.0,
 ) -> Weights:
     """Fit from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0 or 1).
 
     Reads at most ``rows`` labelled documents, by the smallest hash of the id.
     Ids labelled both ways, null ids and other label values do not count. With no
-    labelled document every score is 0 or more exactly sigmoid(-3).
+    labelled document every score is sigmoid(-3). ``toxic_weight`` scales the steps of toxic rows.
     """
     clean = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(
         F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other")
@@ -92,7 +93,7 @@ def fit(
                 marks += batch.column("toxic").to_pylist()
         if examples:
             order = sorted(range(len(marks)), key=lambda i: (len(examples[i]), examples[i].tobytes(), marks[i]))
-            w = _ftrl([examples[i] for i in order], np.array([marks[i] for i in order], float), bits, epochs, alpha, beta, l1, l2)
+            w = _ftrl([examples[i] for i in order], np.array([marks[i] for i in order], float), bits, epochs, alpha, beta, l1, l2, toxic_weight)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([w.at.astype("<i8").tobytes()], pa.binary()), pa.array([w.value.astype("<f8").tobytes()], pa.binary()), pa.array([w.bias])],
                 names=["at", "value", "bias"])
