@@ -18,11 +18,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.llm.text import LETTERS, Words, runs, slices
-from cohortkit.session import materialise
+from cohortkit.llm.text import LETTERS, Words, slices
+from cohortkit.session import materialise, scratch_path
 
 WINDOW = 10
 # Phrases looked up in one pass over the index, a bound on what each task receives.
@@ -41,9 +41,12 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             terms = words.hashes().view(np.int64)
             order = np.argsort(terms, kind="stable")
             terms, place = terms[order], place[order]
+            # Each list as its first number and then differences, which compress well.
             heads = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else np.zeros(0, np.int64)
+            steps = np.diff(place, prepend=place[:1])
+            steps[heads] = place[heads]
             bounds = np.concatenate([heads, [len(terms)]]).astype(np.int32) * 4
-            blob = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(place)])
+            blob = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(steps.astype("<u4"))])
             segment, docs = f"{part}-{number}", batch.num_rows
             number += 1
             nothing = pa.nulls(len(heads), pa.int64())
@@ -64,7 +67,9 @@ def build_index(docs: DataFrame) -> DataFrame:
     (``doc_row`` tells them apart); other columns are left out.
     """
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialise(chosen.mapInArrow(_index, _INDEX), "postings")
+    path = scratch_path(docs.sparkSession, "postings")
+    chosen.mapInArrow(_index, _INDEX).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(_INDEX).parquet(path)
 
 
 def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -98,7 +103,7 @@ def _match(wanted: list[tuple[str | None, np.ndarray]], slop: int):
         return (at < len(values)) & (values[np.minimum(at, len(values) - 1)] <= targets + slop)
 
     def match(frame):
-        lists = {t: np.frombuffer(p, "<u4").astype(np.int64) for t, p in zip(frame["term"], frame["postings"], strict=True) if p is not None}
+        lists = {t: np.cumsum(np.frombuffer(p, "<u4"), dtype=np.int64) for t, p in zip(frame["term"], frame["postings"], strict=True) if p is not None}
         docs = frame[frame["doc_row"] >= 0].sort_values("first")
         first = docs["first"].to_numpy(np.int64)
         item_of, low, high = [], [], []
@@ -158,7 +163,8 @@ def find_phrases(index: DataFrame, wanted: DataFrame, slop: int = 0, block: int
             rows = rows.where(F.col("n") <= high)
         listed = [(r["item_id"], np.array(r["terms"], np.int64)) for r in rows.collect()]
         terms = wanted.sparkSession.createDataFrame([(t,) for t in sorted({int(x) for _, ts in listed for x in ts})], "term long")
-        postings = index.where("term is not null").join(terms, "term", "left_semi")
+        # At most ``block`` windows of words, so the terms have a proven bound.
+        postings = index.where("term is not null").join(F.broadcast(terms), "term", "left_semi")
         both = index.where("term is null").unionByName(postings).select(
             # No nulls beside numbers: pandas would turn 64-bit hashes into doubles.
             "segment", "postings", *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("term", "doc_row", "first")))
@@ -182,8 +188,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     index = build_index(docs)
     spans = materialise(find_phrases(index, phrases(items, window)), "phrase-spans")
     # Union of the runs of a document: keep what each run adds beyond all that start before it.
-    from pyspark.sql import Window
-
     before = Window.partitionBy("doc_row").orderBy("low", "high", "item_id").rowsBetween(Window.unboundedPreceding, -1)
     added = spans.withColumn("reach", F.coalesce(F.max("high").over(before), F.lit(0))).select(
         "doc_row", "item_id", F.greatest(F.lit(0), F.col("high") - F.greatest("low", "reach")).alias("hit"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import chat, decontaminate, knn, language, ordering, packing, scoring, toxicity
+from cohortkit.llm import chat, decontaminate, knn, language, oracles, ordering, packing, scoring, setjoin, suffix, toxicity
 from cohortkit.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,7 +50,7 @@ def remainder(parts: int):
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
-@query("op2_voronoi_top_k")
+@query("op2_voronoi_top_k", oracles.TOP_K)
 def op2_voronoi_top_k(spark, folder):
     vectors = knn.scaled(table(spark, folder, "embeddings"))
     return knn.top_k(vectors.where("vec_id % 100 = 0"), vectors)
@@ -90,6 +90,20 @@ def op8_language(spark, folder):
         "doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-@query("op9_benchmark_phrases")
+@query("op9_benchmark_phrases", oracles.PHRASES)
 def op9_benchmark_phrases(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark, folder):
+    cut = suffix.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["length"])
+    return cut.select(
+        "doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op1_shingle_jaccard", oracles.SHINGLE_JACCARD)
+def op1_shingle_jaccard(spark, folder):
+    return setjoin.components(table(spark, folder, "documents"), k=3, num=90, den=100)

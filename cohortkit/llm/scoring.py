@@ -32,7 +32,7 @@ from cohortkit.llm.text import NOT_BLANK, Words, slices
 from cohortkit.session import materialise
 
 #: Bits of a word's hash inside a pair, share of the smoothing mass, text in a block.
-HALF, MASS, BLOCK = 28, 1000.0, 8 << 20
+HALF, MASS, BLOCK = 28, 1000.0, 6 << 20
 _START, _END = np.uint64(0x5DEECE66D1234567), np.uint64(0x2545F4914F6CDD1D)
 _U = np.uint64
 

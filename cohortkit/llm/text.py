@@ -77,13 +77,23 @@ class Words:
         lengths = self.ends - self.starts
         if not len(lengths):
             return np.zeros(0, np.uint64)
-        at = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(at, lengths)
-        values = _TABLE[self.data[self.kept]] * powers(int(lengths.max()))[place]
-        return mix(np.add.reduceat(values, at) + lengths.astype(np.uint64))
-
-
-def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20):
+        powered = powers(int(lengths.max()))
+        letters = self.data[self.kept]
+        ends = np.cumsum(lengths)
+        out = np.empty(len(lengths), np.uint64)
+        low = 0
+        while low < len(lengths):  # a megabyte of letters at a time keeps the arrays small
+            begin = int(ends[low] - lengths[low])
+            high = max(low + 1, int(np.searchsorted(ends, begin + (1 << 20), "right")))
+            at = ends[low:high] - lengths[low:high] - begin
+            place = np.arange(int(ends[high - 1]) - begin, dtype=np.int32) - np.repeat(at.astype(np.int32), lengths[low:high])
+            values = _TABLE[letters[begin : int(ends[high - 1])]] * powered[place]
+            out[low:high] = np.add.reduceat(values, at)
+            low = high
+        return mix(out + lengths.astype(np.uint64))
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 6 << 20):
     """Cut a batch into runs of rows with about ``most`` bytes of text, at least one row each."""
     if not batch.num_rows:
         return
