@@ -11,7 +11,8 @@ Equal sets count as one throughout.
 
 The boundary minimises the rows that enumeration and lists would write, from
 the number of sets of each size. Rarity only orders the shingles: any order gives
-the same links, so it rests on the counts that tasks find frequent.
+the same links, so it is an estimate from what tasks find frequent: shingles that
+repeat in a task come last, the others by the frequency that their words let expect.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.components import connected_components
 from cohortkit.llm.text import NOT_BLANK, Words, mix, slices
-from cohortkit.session import materialise
+from cohortkit.session import broadcast_if_small, materialise
 
 # Sizes up to which enumeration is considered, rows a set may enumerate, weight of a listed row (it has to be compared).
 _LARGEST_LIGHT, _MOST_SUBSETS, _LIST_WEIGHT = 48, 1500, 4
@@ -81,24 +82,32 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     A text with fewer than ``k`` words is one shingle, its whole sequence; one without words has none.
     """
     words = Words(texts, NOT_BLANK)
-    h, n = words.hashes(), words.counts
+    return _sets(words, words.hashes(), k, None)[:2]
+
+
+def _sets(words: Words, h: np.ndarray, k: int, logs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sets, and the expected log frequency of each shingle from its words' ``logs`` (of shares of all words)."""
+    n = words.counts
     full = np.maximum(0, n - k + 1)
     row = np.repeat(np.arange(len(n)), full)
     start = np.arange(int(full.sum())) - np.repeat(np.cumsum(full) - full, full) + np.repeat(words.first[:-1], full)
     value = np.full(len(start), k, np.uint64)
+    expected = np.zeros(len(start), np.float32)
     for i in range(k):
         value = mix(value * np.uint64(31) + h[start + i])
+        if logs is not None:
+            expected += logs[start + i]
     short = np.flatnonzero((n > 0) & (n < k))
     extra = n[short].astype(np.uint64)
     for i in range(k - 1):
         more = n[short] > i
         extra[more] = mix(extra[more] * np.uint64(31) + h[words.first[:-1][short[more]] + i])
     row, value = np.concatenate([row, short]), np.concatenate([value, extra])
+    expected = np.concatenate([expected, np.zeros(len(short), np.float32)])
     order = np.lexsort((value, row))
-    row, value = row[order], value[order]
+    row, value, expected = row[order], value[order], expected[order]
     keep = np.concatenate([[True], (value[1:] != value[:-1]) | (row[1:] != row[:-1])]) if len(row) else np.zeros(0, bool)
-    row, value = row[keep], value[keep]
-    return np.searchsorted(row, np.arange(len(n) + 1)), value
+    return np.searchsorted(row[keep], np.arange(len(n) + 1)), value[keep], expected[keep]
 
 
 def _prints(first: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,18 +118,50 @@ def _prints(first: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return total[0, first[1:]] - total[0, first[:-1]], total[1, first[1:]] - total[1, first[:-1]]
 
 
+def _sketches(first: np.ndarray, sets: np.ndarray) -> pa.Array:
+    """How many shingles of each set fall into each of 64 hash classes, a byte each.
+
+    The sum of the smaller counts bounds an intersection from above. A set with more than 255
+    in a class gets 255 in all, which only loosens the bound.
+    """
+    rows = len(first) - 1
+    row = np.repeat(np.arange(rows), np.diff(first))
+    counts = np.bincount((row << 6) | (sets >> np.uint64(58)).astype(np.int64), minlength=rows << 6).reshape(rows, 64)
+    counts[(counts > 255).any(1)] = 255
+    return pa.array([x.tobytes() for x in counts.astype(np.uint8)], pa.binary())
+
+
+def _may_link(rule: Rule):
+    """Pairs whose sketches leave room for the overlap they need."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, 64) for c in ("sketch_a", "sketch_b"))
+            most = np.minimum(a, b).sum(1, dtype=np.int64)
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array((rule.num + rule.den) * most >= rule.num * total))
+
+    return keep
+
+
 def _profile(k: int):
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                first, sets = shingle_sets(batch.column("text"), k)
+                words = Words(batch.column("text"), NOT_BLANK)
+                h = words.hashes()
+                first, sets, _ = _sets(words, h, k, None)
                 one, two = _prints(first, sets)
                 _, fresh = np.unique(one, return_index=True)
                 own = np.zeros(len(one), bool)
                 own[fresh] = True
-                tokens, n = np.unique(sets[np.repeat(own, np.diff(first))], return_counts=True)
-                often = n >= _OFTEN
-                tokens, n = tokens[often].view(np.int64), n[often]
+                found = []
+                for values in (sets[np.repeat(own, np.diff(first))], h):
+                    values, n = np.unique(values, return_counts=True)
+                    often = n >= _OFTEN
+                    found.append((values[often].view(np.int64), n[often]))
+                tokens, n = (np.concatenate(x) for x in zip(*found, strict=True))
+                is_word = np.repeat([False, True], [len(v) for v, _ in found])
                 rows, more = batch.num_rows, len(tokens)
                 yield pa.RecordBatch.from_arrays(
                     [pa.concat_arrays([batch.column("doc_id"), pa.nulls(more, pa.int64())]),
@@ -128,8 +169,11 @@ def _profile(k: int):
                      pa.concat_arrays([pa.array(one.view(np.int64)), pa.nulls(more, pa.int64())]),
                      pa.concat_arrays([pa.array(two.view(np.int64)), pa.nulls(more, pa.int64())]),
                      pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(tokens)]),
-                     pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(n.astype(np.int64))])],
-                    names=["doc_id", "n", "one", "two", "token", "often"])
+                     pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(n.astype(np.int64))]),
+                     pa.concat_arrays([pa.nulls(rows, pa.bool_()), pa.array(is_word)]),
+                     pa.concat_arrays([pa.array(words.counts.astype(np.int64)), pa.nulls(more, pa.int64())]),
+                     pa.concat_arrays([_sketches(first, sets), pa.nulls(more, pa.binary())])],
+                    names=["doc_id", "n", "one", "two", "token", "often", "word", "words", "sketch"])
 
     return profile
 
@@ -141,10 +185,14 @@ def _keys(k: int, rule: Rule, below: int, frequent):
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, level = frequent.value
+        common, level, known, share, rare = frequent.value
         for whole in batches:
-            for batch in slices(whole, "text", 8 << 20):
-                first, sets = shingle_sets(batch.column("text"), k)
+            for batch in slices(whole, "text", 4 << 20):
+                words = Words(batch.column("text"), NOT_BLANK)
+                h = words.hashes()
+                spot = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
+                logs = np.where(known[spot] == h, share[spot], rare) if len(known) else np.full(len(h), rare, np.float32)
+                first, sets, expected = _sets(words, h, k, logs)
                 one, _ = _prints(first, sets)
                 ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
                 n = np.diff(first)
@@ -158,7 +206,7 @@ def _keys(k: int, rule: Rule, below: int, frequent):
                 listed = np.zeros(len(n), bool)
                 listed[keep] = n[keep] >= rule.smallest(below)
                 some = np.flatnonzero(listed[row_of])
-                some = some[np.lexsort((sets[some], rank[some], row_of[some]))]
+                some = some[np.lexsort((sets[some], np.round(expected[some], 2), rank[some], row_of[some]))]
                 place = np.arange(len(some)) - np.searchsorted(row_of[some], row_of[some])
                 some = some[place < rule.prefix(n)[row_of[some]]]
                 token, row, kind = [sets[some]], [row_of[some]], [np.zeros(len(some), np.int32)]
@@ -173,8 +221,8 @@ def _keys(k: int, rule: Rule, below: int, frequent):
                             subset = total - mine
                         else:
                             subset = total - np.array([mine[list(x)].sum(dtype=np.uint64) for x in combinations(range(size), size - c)], np.uint64)
-                        pair = np.uint64(min(size, other) * 4096 + max(size, other))
-                        token.append(mix(mix(subset) + pair * np.uint64(0x9E3779B97F4A7C15)))
+                        pair = np.full(1, min(size, other) * 4096 + max(size, other), np.uint64)
+                        token.append(mix(mix(subset) + mix(pair)))
                         row.append(np.full(len(subset), r))
                         kind.append(np.full(len(subset), 1 if other == size else 2, np.int32))
                 token, row, kind = np.concatenate(token), np.concatenate(row), np.concatenate(kind)
@@ -227,17 +275,23 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     """
     spark, rule = docs.sparkSession, Rule(num, den)
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = materialise(chosen.mapInArrow(_profile(k), "doc_id long, n long, one long, two long, token long, often long"), "set-profile")
+    profile = materialise(chosen.mapInArrow(_profile(k), "doc_id long, n long, one long, two long, token long, often long, word boolean, words long, sketch binary"), "set-profile")
     rows = profile.where("token is null").select("doc_id", "n", "one", "two")
-    taking = rows.where("n > 0 and doc_id is not null")
-    classes = materialise(taking.groupBy("one", "two", "n").agg(F.min("doc_id").alias("first")), "set-classes")
+    taking = profile.where("token is null and n > 0 and doc_id is not null")
+    classes = materialise(
+        taking.groupBy("one", "two", "n").agg(F.min("doc_id").alias("first"), F.first("sketch").alias("sketch")), "set-classes")
     sizes = {r["n"]: r["c"] for r in classes.groupBy(F.least("n", F.lit(2 * _LARGEST_LIGHT)).alias("n")).agg(F.count("*").alias("c")).collect()}
     below = rule.boundary(sizes)
-    # At most ``_ORDERED`` shingles with a level each: a proven bound for the broadcast.
-    often = profile.where("token is not null").groupBy("token").agg(F.sum("often").alias("c")).orderBy(F.desc("c"), "token").limit(_ORDERED).toPandas()
-    common = often["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(common)
-    frequent = spark.sparkContext.broadcast((common[order], np.log2(1 + often["c"].to_numpy(float)[order]).astype(np.uint8)))
+    # At most ``_ORDERED`` shingles and words with a number each: a proven bound for the broadcast.
+    tables = []
+    for kind in ("not word", "word"):
+        often = profile.where("token is not null").where(kind).groupBy("token").agg(F.sum("often").alias("c")).orderBy(
+            F.desc("c"), "token").limit(_ORDERED).toPandas()
+        tokens, counts = often["token"].to_numpy(np.int64).view(np.uint64), np.log2(1 + often["c"].to_numpy(float))
+        order = np.argsort(tokens)
+        tables += [tokens[order], counts[order].astype(np.uint8 if kind == "not word" else np.float32)]
+    every = math.log2(1 + (profile.agg(F.sum("words")).first()[0] or 0))
+    frequent = spark.sparkContext.broadcast((*tables[:3], tables[3] - np.float32(every), np.float32(-every)))
 
     keys = chosen.where("doc_id is not null").mapInArrow(
         _keys(k, rule, below, frequent), "kind int, token long, doc_id long, n int, one long")
@@ -252,16 +306,21 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     step = math.log(den / num)
     part = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9)
     heavy = lists.where("kind = 0").select("token", F.explode(F.array(part, part + 1)).alias("part"), "doc_id", "n")
-    texts = materialise(
-        chosen.join(lists.where("kind = 0").select("doc_id").distinct(), "doc_id", "left_semi"), "set-texts")
     heavy = materialise(_members(heavy, None).select("token", "part", "doc_id", "n"), "set-lists")
     if heavy.isEmpty():
         groups = connected_components(links)
         return _result(rows, classes, groups)
 
     def compared(pairs: DataFrame) -> DataFrame:
+        # Sketches rule most pairs out; only the texts of the rest are fetched.
+        left, right = (
+            classes.select(F.col("first").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in ("a", "b"))
+        rest = materialise(
+            pairs.distinct().join(left, "a").join(right, "b").mapInArrow(_may_link(rule), "a long, b long"), "set-pairs")
+        wanted = rest.select(F.col("a").alias("doc_id")).unionByName(rest.select(F.col("b").alias("doc_id"))).distinct()
+        texts = materialise(chosen.join(broadcast_if_small(wanted), "doc_id", "left_semi"), "set-texts")
         left, right = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
-        both = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+        both = rest.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
         return materialise(both.mapInArrow(_compare(k, rule), "a long, b long"), "links")
 
     groups = materialise(connected_components(links), "set-groups")

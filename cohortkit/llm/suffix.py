@@ -38,7 +38,7 @@ from cohortkit.llm.scoring import EliasFano
 from cohortkit.llm.text import _STEP, _TABLE, buffers, mix, powers, slices
 from cohortkit.session import materialise
 
-LENGTH, _GRAM, BLOCK = 200, 48, 4 << 20
+LENGTH, _GRAM, BLOCK = 200, 48, 1 << 20
 _REPEATED, _COMPARE = 1, 2
 _INVERSE = np.uint64(pow(int(_STEP), -1, 1 << 64))
 
@@ -63,7 +63,7 @@ class _Anchors:
             return
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(_TABLE[self.data] * powers(n), out=total[1:])
-        back = _inverse(1 << max(20, n.bit_length()))
+        back = _inverse(1 << max(20, (n - 1).bit_length()))
         grams = mix((total[gram:] - total[:-gram]) * back[: n - gram + 1])
         place = np.arange(len(grams), dtype=np.uint64)
         least = (grams >> np.uint64(28) << np.uint64(28)) | place
