@@ -32,11 +32,12 @@ RAW_PHENOTYPE_TYPES = {
 }
 
 # The SNP columns of a raw genotype file.
-SNPS = (
-    "rs61652270 rs60004782 rs9554188 rs9581927 rs9581929 rs7985481 rs9581931 rs4424773 "
-    "rs9554193 rs7995917 rs7993114 rs11618581 rs9554197 rs11618036 rs11618832 rs11616678 "
-    "rs11618052 rs9579127 rs7999100 rs8000004 rs9579128 rs2297316 rs9581943"
-).split()
+SNPS = [
+    "rs61652270", "rs60004782", "rs9554188", "rs9581927", "rs9581929", "rs7985481",
+    "rs9581931", "rs4424773", "rs9554193", "rs7995917", "rs7993114", "rs11618581",
+    "rs9554197", "rs11618036", "rs11618832", "rs11616678", "rs11618052", "rs9579127",
+    "rs7999100", "rs8000004", "rs9579128", "rs2297316", "rs9581943",
+]
 
 # Columns that phenotype cleaning cannot do without.
 REQUIRED_PHENOTYPE = [
@@ -89,6 +90,7 @@ SMOKING_LABELS = {
     "smoking_not_current": "Not current",
 }
 
+# Binary columns of the feature screen.
 BINARY_COLUMNS = ["gender", "hypertension", "heart_disease"]
 
 # Left-closed bin edges; the last bin is open to the right.
@@ -130,6 +132,7 @@ ACCEPTED_EXTENSIONS = {
 # Columns that analyses never offer as a feature.
 NOT_A_FEATURE = ["patient_id", "registry_date", "year", "location"]
 
+# Fixed value: level of significance.
 ALPHA = 0.05
 DECISION_THRESHOLD = 0.5
 

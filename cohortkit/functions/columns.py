@@ -33,6 +33,11 @@ def number_sql(name: str) -> str:
     return f"nanvl(try_cast(`{safe}` AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
+def text_sql(text: str) -> str:
+    """A string literal in SQL text, whatever characters it holds."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def registry_timestamp(column: Column | str) -> Column:
     """Parse ``YYYY-MM-DD`` (month and day may lack the zero); anything else is null."""
     text = F.col(column) if isinstance(column, str) else column

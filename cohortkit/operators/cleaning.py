@@ -11,19 +11,16 @@ import os
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortkit import domain
 from cohortkit.functions.columns import normal_name, number, one_hot_code, quoted
 from cohortkit.operators import columns as cols
 from cohortkit.operators import quality
-from cohortkit.operators.ordering import WINDOW_ROWS, exact_quantiles, running
+from cohortkit.operators.ordering import exact_quantiles, running
 from cohortkit.session import materialise, scratch_path
 
-# Label sets up to this length are applied as a literal list, longer ones by a join.
-LITERAL_LABELS = 1000
-
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     """Remove rows that repeat in every column."""
@@ -65,25 +62,22 @@ def _fill_from_map(df: DataFrame, columns: Sequence[str], values: Column) -> Dat
     ).drop("_fill")
 
 
-def label_codes(df: DataFrame, column: str, *, direct_rows: int = WINDOW_ROWS) -> DataFrame:
+def label_codes(df: DataFrame, column: str, *, buckets: int | None = None) -> DataFrame:
     """Sorted distinct values with codes 0..k-1: ``value``, ``code``.
 
-    The distinct values are written once and counted. A long label set is ordered
-    in groups by the six bytes after the prefix that all labels share, so that it
-    is never sorted in one task.
+    The distinct values are written once and ordered in groups by the six bytes
+    after the prefix that all labels share, so that they are never sorted in one task.
     """
     values = df.select(quoted(column).cast("string").alias("value")).where("value IS NOT NULL").distinct()
     values = materialise(values, "labels")
-    n_labels = values.count()
-    if n_labels <= direct_rows:
-        rank = F.row_number().over(Window.orderBy("value"))
-        return values.select("value", (rank - 1).cast("int").alias("code"))
     lowest, highest = values.agg(F.min("value"), F.max("value")).first()
+    if lowest is None:
+        return values.select("value", F.lit(None).cast("int").alias("code"))
     shared = len(os.path.commonprefix([lowest.encode(), highest.encode()]))
     rest = F.substring(F.hex(F.encode("value", "utf-8")), 2 * shared + 1, 12)
     headed = values.withColumn("head", F.conv(F.rpad(rest, 12, "0"), 16, 10).cast("double"))
     heads = materialise(headed.groupBy("head").agg(F.count(F.lit(1)).alias("heads")), "label-heads")
-    placed = running(heads, "head", {"upto": ("sum", "heads")}, direct_rows=direct_rows)
+    placed = running(heads, "head", {"upto": ("sum", "heads")}, buckets=buckets)
     inside = Window.partitionBy("head").orderBy("value")
     return headed.join(placed, "head").select(
         "value",
@@ -131,8 +125,15 @@ class PhenotypeFit:
     """Cohort statistics that phenotype cleaning needs again for new patients."""
 
     medians: dict[str, float] = field(default_factory=dict)
-    genders: list[str] | None = None
-    gender_codes: str | None = None  # path of the codes, where they are too many for a list
+    gender_codes: str | None = None  # catalog table of the codes
+    gender_path: str | None = None  # or, for a fit that is not stored, a path in the scratch folder
+
+    def codes(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.gender_codes) if self.gender_codes else spark.read.parquet(self.gender_path)
+
+    def stored(self, table: str) -> PhenotypeFit:
+        """The same fit with its codes in a catalog table."""
+        return PhenotypeFit(self.medians, table)
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -167,19 +168,16 @@ def prepare_phenotypes(raw: DataFrame) -> DataFrame:
     return fill_constant(drop_duplicate_rows(named), domain.TEXT_FILL)
 
 
-def fit_phenotypes(ready: DataFrame, codes_path: str | None = None) -> PhenotypeFit:
-    """Medians and gender labels of prepared phenotypes (reads one row per column and per label).
+def fit_phenotypes(ready: DataFrame) -> PhenotypeFit:
+    """Medians and gender codes of prepared phenotypes (the driver reads one row per column).
 
-    A label set too long for a list is written to ``codes_path`` (by default in the
-    scratch folder) and joined when it is applied.
+    The codes are a table of any length in the scratch folder; ``PhenotypeFit.stored`` names the
+    catalog table to which a caller has copied them.
     """
     medians = {r["feature"]: r["median"] for r in column_medians(ready, domain.MEDIAN_FILL).collect()}
-    labels = ready.select("gender").distinct().limit(LITERAL_LABELS + 1).collect()
-    if len(labels) <= LITERAL_LABELS:
-        return PhenotypeFit(medians, sorted(r["gender"] for r in labels))
-    codes_path = codes_path or scratch_path(ready.sparkSession, "gender-codes")
-    label_codes(ready, "gender").write.parquet(codes_path)
-    return PhenotypeFit(medians, None, codes_path)
+    path = scratch_path(ready.sparkSession, "gender-codes")
+    label_codes(ready, "gender").write.parquet(path)
+    return PhenotypeFit(medians, None, path)
 
 
 def phenotype_violations(clean: DataFrame) -> DataFrame:
@@ -197,8 +195,7 @@ def encode_phenotypes(ready: DataFrame, fit: PhenotypeFit | None = None) -> Data
         filled = ready.withColumns(
             {c: F.coalesce(number(quoted(c)), F.lit(fit.medians.get(c))) for c in domain.MEDIAN_FILL}
         )
-        codes = ready.sparkSession.read.parquet(fit.gender_codes) if fit.gender_codes else None
-        filled = label_encode(filled, "gender", fit.genders, codes)
+        filled = label_encode(filled, "gender", codes=fit.codes(ready.sparkSession))
     coded = one_hot(
         restrict_categories(filled, "smoking_history", domain.SMOKING_ANSWERS),
         "smoking_history",

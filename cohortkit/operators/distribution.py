@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortkit import domain
 from cohortkit.functions.columns import number, quoted
-from cohortkit.operators.ordering import exact_quantiles
+from cohortkit.operators.ordering import exact_quantiles, shuffle_token
 
 BINS = 30
 SNP_BINS = 3
@@ -88,17 +88,15 @@ def box_statistics(
     column: str,
     target: str | None = None,
     classes: Sequence[int] = (0, 1),
-    direct_rows: int | None = None,
 ) -> DataFrame:
-    """Quartiles, whiskers (furthest points within 1.5 IQR) and outlier count, whole or per class."""
-    options = {} if direct_rows is None else {"direct_rows": direct_rows}
+    """Quartiles, whiskers (furthest points within 1.5 IQR) and outlier count, whole or per class of ``classes``."""
     value = number(quoted(column)).alias("value")
     if target is None:
         rows = df.select(F.lit(0).alias("class"), value)
     else:
         rows = df.select(quoted(target).cast("int").alias("class"), value).where(F.col("class").isin(*classes))
     quartiles = (
-        exact_quantiles(rows, ["value"], [0.25, 0.5, 0.75], by=["class"], **options)
+        exact_quantiles(rows, ["value"], [0.25, 0.5, 0.75], by=["class"])
         .agg(F.map_from_entries(F.collect_list(F.struct("class", "quantiles"))))  # one entry per class
         .scalar()
     )
@@ -130,7 +128,18 @@ def box_statistics(
     return stats.drop("class") if target is None else stats
 
 
-def scatter_points(df: DataFrame, column: str, target: str = domain.TARGET, seed: int = 42, jitter: float = 0.05) -> DataFrame:
-    """Per row: the target moved by a uniform jitter, and the feature value."""
-    known = df.select(quoted(target).cast("double").alias("class"), number(quoted(column)).alias("y")).dropna()
-    return known.select((F.col("class") + F.rand(seed) * (2 * jitter) - jitter).alias("x"), "y")
+def scatter_points(
+    df: DataFrame, column: str, target: str = domain.TARGET, key: str = domain.KEY, seed: int = 42, jitter: float = 0.05,
+    token: Column | None = None,
+) -> DataFrame:
+    """Per row: the target moved by a jitter, and the feature value.
+
+    The jitter is a hash of the key, of the whole row if there is no key (or ``token``,
+    a number in [0, 2^31)), so a row gets the same point however the table is partitioned.
+    """
+    if token is None:
+        whole = F.shiftrightunsigned(F.xxhash64(*[quoted(c) for c in df.columns], F.lit(seed)), 33)
+        token = shuffle_token(key, seed) if key in df.columns else whole
+    share = token.cast("double") / (1 << 31)
+    known = df.select(quoted(target).cast("double").alias("class"), number(quoted(column)).alias("y"), share.alias("_share")).dropna()
+    return known.select((F.col("class") + F.col("_share") * (2 * jitter) - jitter).alias("x"), "y")

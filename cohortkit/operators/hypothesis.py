@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortkit import domain
 from cohortkit.functions.columns import count_if, number, one_hot_code, quoted
 from cohortkit.functions.tails import chi2_p, t_p
-from cohortkit.operators.ordering import WINDOW_ROWS, running
+from cohortkit.operators.ordering import running
 from cohortkit.session import materialise
 
 
@@ -23,7 +23,8 @@ def level_counts(
     """Long contingency tables of several features: ``feature``, ``level``, ``n_<class>``.
 
     All features are counted in one pass; counts combine before the shuffle, so
-    a level that holds most rows stays one row per task.
+    a level that holds most rows stays one row per task. Rows of other target
+    levels than ``classes`` do not count.
     """
     pairs = F.array(*[
         F.struct(F.lit(name).alias("feature"), column.cast("double").alias("level"))
@@ -43,15 +44,13 @@ def chi_square(
     classes: Sequence[int] = (0, 1),
     *,
     key: str = "feature",
-    few_features: bool = True,
     with_p: bool = True,
 ) -> DataFrame:
     """Chi-square test of independence per feature from ``level_counts``.
 
     Columns: the key, ``n``, ``levels``, ``statistic``, ``dof`` and ``p_value``;
     undefined (null) with fewer than two observed rows or columns. A 2 x 2 table
-    gets the Yates correction. ``few_features`` states that the features are
-    columns of a table, so their totals are small enough to broadcast.
+    gets the Yates correction.
     """
     names = [f"n_{c}" for c in classes]
     row_total = F.col(names[0])
@@ -61,7 +60,7 @@ def chi_square(
     totals = rows.groupBy(key).agg(
         F.sum("_row").alias("n"), *[F.sum(n).alias(f"_c{i}") for i, n in enumerate(names)]
     )
-    joined = rows.join(F.broadcast(totals) if few_features else totals, key)
+    joined = rows.join(totals, key)
     cells = []
     for i, name in enumerate(names):
         expected = F.col("_row") * F.col(f"_c{i}") / F.col("n")
@@ -139,37 +138,22 @@ def fdr_adjust(
     p: str = "p_value",
     *,
     alpha: float = domain.ALPHA,
-    n_tests: int | None = None,
-    direct_rows: int = WINDOW_ROWS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add Benjamini-Hochberg ``p_fdr`` and ``significant``; undefined p-values take no part.
 
-    ``n_tests`` is a bound on the rows if the caller knows one; otherwise the tests
-    are written once and counted. Many tests get their ranks and minima from
-    running totals over the distinct p-values.
+    Ranks and minima are running totals over the distinct p-values, so no task
+    sorts all tests.
     """
-    if n_tests is None:
-        tests = materialise(tests, "tests")
-        n_tests = tests.count()
-    if n_tests <= direct_rows:
-        everything = Window.partitionBy()
-        place = everything.orderBy(F.asc_nulls_last(p))
-        suffix = everything.orderBy(F.desc("_rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        adjusted = (
-            tests.withColumn("_rank", F.row_number().over(place))
-            .withColumn("_scaled", quoted(p) * F.count(quoted(p)).over(everything) / F.col("_rank"))
-            .withColumn("p_fdr", F.when(quoted(p).isNotNull(), F.least(F.lit(1.0), F.min("_scaled").over(suffix))))
-            .drop("_rank", "_scaled")
-        )
-    else:
-        known = tests.where(quoted(p).isNotNull())
-        total = known.count()
-        ties = materialise(known.groupBy(quoted(p).alias("_p")).agg(F.count(F.lit(1)).alias("_ties")), "p-values")
-        ranked = running(ties, "_p", {"_rank": ("sum", "_ties")}, direct_rows=direct_rows)
-        scaled = materialise(ranked.select("_p", (F.col("_p") * total / F.col("_rank")).alias("_scaled")), "scaled")
-        lowest = running(scaled, "_p", {"_low": ("min", "_scaled")}, descending=True, direct_rows=direct_rows)
-        lowest = lowest.select("_p", F.least(F.lit(1.0), F.col("_low")).alias("p_fdr"))
-        adjusted = tests.join(lowest, quoted(p) == F.col("_p"), "left").drop("_p")
+    tests = materialise(tests, "tests")
+    known = tests.where(quoted(p).isNotNull())
+    total = known.count()
+    ties = materialise(known.groupBy(quoted(p).alias("_p")).agg(F.count(F.lit(1)).alias("_ties")), "p-values")
+    ranked = running(ties, "_p", {"_rank": ("sum", "_ties")}, buckets=buckets)
+    scaled = materialise(ranked.select("_p", (F.col("_p") * total / F.col("_rank")).alias("_scaled")), "scaled")
+    lowest = running(scaled, "_p", {"_low": ("min", "_scaled")}, descending=True, buckets=buckets)
+    lowest = lowest.select("_p", F.least(F.lit(1.0), F.col("_low")).alias("p_fdr"))
+    adjusted = tests.join(lowest, quoted(p) == F.col("_p"), "left").drop("_p")
     return adjusted.withColumn("significant", F.coalesce(F.col("p_fdr") <= alpha, F.lit(False)))
 
 
@@ -211,4 +195,4 @@ def feature_screen(
         raise ValueError("no testable feature")
     tests = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     p_value = F.when(F.col("test_group") == "chi2", chi2_p("statistic", "dof")).otherwise(t_p("statistic", "dof"))
-    return fdr_adjust(tests.withColumn("p_value", p_value), alpha=alpha, n_tests=len(counted) + len(numeric))
+    return fdr_adjust(tests.withColumn("p_value", p_value), alpha=alpha)

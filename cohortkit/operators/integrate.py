@@ -18,8 +18,8 @@ def join_cohort(pheno: DataFrame, geno: DataFrame, key: str = domain.KEY) -> Dat
 def join_new_patients(pheno: DataFrame, geno: DataFrame, key: str = domain.KEY) -> DataFrame:
     """The same join for arriving patients.
 
-    The arriving phenotypes are broadcast if counted small, so a large genotype
-    table is filtered in place and not shuffled.
+    The arriving phenotypes are written once and broadcast if small, so a large
+    genotype table is filtered in place and not shuffled.
     """
     return broadcast_if_small(pheno).join(geno, key, "inner").select(
         *[pheno.columns[i] for i in range(len(pheno.columns))],

@@ -12,15 +12,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.functions.columns import bucket_of, number_sql, quoted
+from cohortkit.functions.columns import bucket_of, number_sql, quoted, text_sql
 from cohortkit.session import broadcast_if_small
 
-# Up to this many rows in all, Spark's own ``percentile`` is used: its value map
-# then has a known bound. Above it the column is narrowed by counting first.
-DIRECT_ROWS = 5_000_000
-
-# Up to this many rows one window may order them all.
-WINDOW_ROWS = 1_000_000
+# Rows that a bucket of the order should hold, and the fewest and most buckets. A
+# bucket is sorted in one task; the most are bounded because every row finds its bucket among them.
+BUCKET_ROWS, FEWEST, MOST = 200_000, 64, 65_536
 
 _COMBINE = {
     "sum": (F.sum, lambda before, inside: F.coalesce(before, F.lit(0)) + inside),
@@ -36,31 +33,20 @@ def running(
     *,
     by: Sequence[str] = (),
     descending: bool = False,
-    rows: int | None = None,
-    direct_rows: int = WINDOW_ROWS,
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Running sum, min or max of columns along ``order``.
 
     ``outputs`` maps a new column to ``(kind, column)``. Values of ``order`` must
     be distinct within ``by`` (aggregate first). ``df`` is read several times, so it
-    should be a written table; its rows are counted unless given as ``rows``. Few
-    rows take one window; many are cut into buckets by a quantile sketch of
-    ``order``, where a poor sketch costs balance, not correctness.
+    should be a written table. The order is cut into buckets by a quantile sketch,
+    as many as the number of rows asks for unless given; a poor sketch costs
+    balance, not correctness.
     """
     direction = F.desc if descending else F.asc
-    if (df.count() if rows is None else rows) <= direct_rows:
-        along = (
-            Window.partitionBy(*by)
-            .orderBy(direction(order))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return df.select(
-            *[quoted(c) for c in df.columns],
-            *[_COMBINE[kind][0](column).over(along).alias(out) for out, (kind, column) in outputs.items()],
-        )
+    buckets = bucket_count(df.count()) if buckets is None else buckets
     marks = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(order, marks, 10_000)).scalar()
+    bounds = df.agg(F.percentile_approx(order, marks, 40 * buckets)).scalar()
     placed = (
         df.select("*", bounds.alias("_bounds"))
         .withColumn("_bucket", bucket_of(order, "_bounds", buckets - 1))
@@ -97,9 +83,14 @@ def running(
     )
 
 
+def bucket_count(rows: int) -> int:
+    """Buckets for so many rows."""
+    return min(MOST, max(FEWEST, -(-rows // BUCKET_ROWS)))
+
+
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """One row per (row, column): ``keep``, ``feature``, ``value`` as double; nulls dropped."""
-    pairs = ", ".join(f"named_struct('feature', '{c}', 'value', {number_sql(c)})" for c in columns)
+    pairs = ", ".join(f"named_struct('feature', {text_sql(c)}, 'value', {number_sql(c)})" for c in columns)
     return (
         df.select(*[quoted(k) for k in keep], F.explode(F.expr(f"array({pairs})")).alias("_pair"))
         .select(*[quoted(k) for k in keep], "_pair.feature", "_pair.value")
@@ -113,23 +104,17 @@ def exact_quantiles(
     probabilities: Sequence[float],
     *,
     by: Sequence[str] = (),
-    direct_rows: int = DIRECT_ROWS,
     buckets: int = 256,
 ) -> DataFrame:
     """Linearly interpolated quantiles: ``by``, ``feature``, ``n``, ``quantiles`` (array).
 
-    Rows with a null ``by`` are ignored. Small inputs use ``percentile``; large
-    ones find the few values around each rank by counting.
+    Rows with a null ``by`` are ignored. The few values around each rank are found
+    by counting, at any size.
     """
     present = df
     for column in by:
         present = present.where(quoted(column).isNotNull())
     values = long_values(present, columns, by)
-    if present.count() <= direct_rows:
-        return values.groupBy(*by, "feature").agg(
-            F.count("value").alias("n"),
-            F.percentile("value", F.array(*[F.lit(float(p)) for p in probabilities])).alias("quantiles"),
-        )
     return _narrowed_quantiles(values, [*by, "feature"], list(probabilities), buckets)
 
 

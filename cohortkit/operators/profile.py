@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,16 +28,16 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
+def _absent(df: DataFrame, column: str) -> Column:
+    """Null, or NaN in a column of floating numbers."""
+    gone = quoted(column).isNull()
+    return gone | F.isnan(quoted(column)) if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)) else gone
+
+
 def missing_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Null count per column (NaN counts as null), in one pass."""
     chosen = list(columns or df.columns)
-    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-
-    def absent(c):
-        gone = quoted(c).isNull()
-        return gone | F.isnan(quoted(c)) if c in floating else gone
-
-    one_row = df.agg(*[count_if(absent(c)).alias(c) for c in chosen])
+    one_row = df.agg(*[count_if(_absent(df, c)).alias(c) for c in chosen])
     return one_row.select(
         F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), quoted(c).alias("missing")) for c in chosen
@@ -80,7 +80,7 @@ def overview(df: DataFrame, name: str) -> DataFrame:
     if domain.REGISTRY_DATE in df.columns:
         day = registry_timestamp(quoted(domain.REGISTRY_DATE).cast("string")).cast("date")
     keys = F.array(*[F.lit(c) for c in df.columns])
-    missing = F.map_from_arrays(keys, F.array(*[count_if(quoted(c).isNull()) for c in df.columns]))
+    missing = F.map_from_arrays(keys, F.array(*[count_if(_absent(df, c)) for c in df.columns]))
     numbers = F.map_from_arrays(
         F.array(*[F.lit(c) for c in chosen]).cast("array<string>"),
         F.array(*[

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit import domain
-from cohortkit.functions.columns import count_if, number, number_sql, quoted, registry_timestamp
+from cohortkit.functions.columns import count_if, number, number_sql, quoted, registry_timestamp, text_sql
 from cohortkit.operators.ordering import exact_quantiles
 from cohortkit.session import broadcast_if_small
 
@@ -52,10 +52,10 @@ def snp_quality(df: DataFrame, snps: Sequence[str]) -> DataFrame:
     One aggregate over the table; the result has one row per SNP column.
     """
     measures = (
-        "named_struct('position', {i}, 'snp', '{c}', 'missing_rate', try_divide(count(1) - count({x}), count(1)), "
+        "named_struct('position', {i}, 'snp', {c}, 'missing_rate', try_divide(count(1) - count({x}), count(1)), "
         "'mean_dosage', avg({x}), 'invalid', count_if({x} NOT IN (0D, 1D, 2D)))"
     )
-    per_snp = [measures.format(i=i, c=c, x=number_sql(c)) for i, c in enumerate(snps)]
+    per_snp = [measures.format(i=i, c=text_sql(c), x=number_sql(c)) for i, c in enumerate(snps)]
     rows = df.selectExpr(f"array({', '.join(per_snp)}) AS _snps").select(F.inline("_snps"))
     low_missing = F.coalesce(F.col("missing_rate") <= domain.MAX_MISSING_RATE, F.lit(False))
     frequent = F.coalesce(F.col("allele_frequency") >= domain.MIN_ALLELE_FREQUENCY, F.lit(False))
@@ -108,17 +108,8 @@ def with_storage_action(
     return requests.withColumn("action", action)
 
 
-# Messages of the consent rules.
-CONSENT_MESSAGES = {
-    "integrate_without_raw": "Without raw storage consent, integration is not possible.",
-    "retrain_without_raw": "Retrain consent requires raw storage and integration consent.",
-    "integrate_without_retrain": "Integration consent without retrain consent does not make sense.",
-    "retrain_without_integrate": "Retrain consent without integration consent does not make sense.",
-}
-
-
 def consent_errors(raw: Column, integrate: Column, retrain: Column) -> Column:
-    """All consent rules a request breaks, as an array of messages."""
+    """The names of all consent rules that a request breaks, as an array."""
     broken = {
         "integrate_without_raw": ~raw & integrate,
         "retrain_without_raw": ~raw & retrain,
@@ -126,7 +117,7 @@ def consent_errors(raw: Column, integrate: Column, retrain: Column) -> Column:
         "retrain_without_integrate": retrain & ~integrate,
     }
     return F.array_compact(
-        F.array(*[F.when(test, F.lit(CONSENT_MESSAGES[rule])) for rule, test in broken.items()])
+        F.array(*[F.when(test, F.lit(rule)) for rule, test in broken.items()])
     )
 
 
@@ -139,12 +130,20 @@ def date_error(column: Column) -> Column:
 def keys_present(stored: DataFrame, batch: DataFrame, key: str = domain.KEY) -> DataFrame:
     """Keys of ``batch`` that ``stored`` holds.
 
-    A batch counted small is broadcast, so a large store is filtered where it
+    The keys of a small batch are broadcast, so a large store is filtered where it
     lies, reading the key column only.
     """
     return stored.select(key).join(broadcast_if_small(batch.select(key).distinct()), key, "left_semi").distinct()
 
 
+def absent_rows(rows: DataFrame, name: str, key: str = domain.KEY) -> DataFrame:
+    """Rows whose key a catalog table does not hold yet; all of them if there is no such table."""
+    spark = rows.sparkSession
+    if not spark.catalog.tableExists(name):
+        return rows
+    return rows.join(keys_present(spark.table(name), rows, key), key, "left_anti")
+
+
 def already_stored(requests: DataFrame, stored: DataFrame, key: str = domain.KEY, consent: str = "consent_raw") -> DataFrame:
     """Requests rejected because raw storage already holds the patient."""
     asked = requests.where(quoted(consent))

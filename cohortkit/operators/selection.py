@@ -125,9 +125,10 @@ def fit_selection(
             found = redundant_features(correlation_pairs(df, passing), limits["snp_correlation_threshold"])
             redundant_snps = {r["feature"] for r in found.collect()}
         kept_snps = [s for s in passing if s not in redundant_snps]
+        kept = set(kept_snps)
         dropped_snps = {
             s: "redundant" if s in redundant_snps else "low_variance_or_weak_target"
             for s in snps
-            if s not in kept_snps
+            if s not in kept
         }
     return Selection([c for c in phenotypes if c not in dropped], dropped, kept_snps, dropped_snps, limits)

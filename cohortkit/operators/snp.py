@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit import domain
-from cohortkit.functions.columns import number_sql, quoted
+from cohortkit.functions.columns import number_sql, quoted, text_sql
 from cohortkit.functions.tails import chi2_p
 from cohortkit.operators.distribution import histogram
 from cohortkit.operators.hypothesis import chi_square, fdr_adjust
@@ -29,7 +29,7 @@ def snps_or_raise(df: DataFrame, prefix: str = domain.SNP_PREFIX) -> list[str]:
 
 def to_long(df: DataFrame, snps: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """One row per (row, SNP), null dosages included: ``keep``, ``snp``, ``dosage``."""
-    pairs = ", ".join(f"named_struct('snp', '{c}', 'dosage', {number_sql(c)})" for c in snps)
+    pairs = ", ".join(f"named_struct('snp', {text_sql(c)}, 'dosage', {number_sql(c)})" for c in snps)
     return df.select(*[quoted(k) for k in keep], F.explode(F.expr(f"array({pairs})")).alias("_p")).select(
         *[quoted(k) for k in keep], "_p.snp", "_p.dosage"
     )
@@ -51,7 +51,7 @@ def snp_moments(df: DataFrame, snps: Sequence[str] | None = None) -> DataFrame:
     """Folded allele frequency and sample variance per SNP, straight from the wide columns."""
     snps = list(snps or snps_or_raise(df))
     per_snp = ", ".join(
-        f"named_struct('snp', '{c}', 'm', avg({number_sql(c)}), 'variance', var_samp({number_sql(c)}))" for c in snps
+        f"named_struct('snp', {text_sql(c)}, 'm', avg({number_sql(c)}), 'variance', var_samp({number_sql(c)}))" for c in snps
     )
     rows = df.selectExpr(f"array({per_snp}) AS _snps").select(F.inline("_snps"))
     p = F.col("m") / 2
@@ -78,11 +78,11 @@ def variance_histogram(df: DataFrame, bins: int = 30) -> DataFrame:
     return histogram(dosage_variance(df), "variance", bins)
 
 
-def association(cube: DataFrame, *, alpha: float = domain.ALPHA, n_snps: int | None = None) -> DataFrame:
+def association(cube: DataFrame, *, alpha: float = domain.ALPHA) -> DataFrame:
     """Chi-square scan over the cube: ``snp``, ``statistic``, ``dof``, ``p_value``, ``p_fdr``, ``significant``.
 
     Only dosages 0, 1, 2 with a known target count; SNPs without a testable table
-    are left out. ``n_snps`` is a bound on the SNPs if the caller has one.
+    are left out.
     """
     counts = (
         cube.where(F.col("dosage").isin(*domain.DOSAGES) & F.col("target").isin(0, 1))
@@ -92,15 +92,15 @@ def association(cube: DataFrame, *, alpha: float = domain.ALPHA, n_snps: int | N
             F.sum(F.when(F.col("target") == 1, F.col("n")).otherwise(0)).alias("n_1"),
         )
     )
-    tested = chi_square(counts, key="snp", few_features=n_snps is not None, with_p=False).where("statistic IS NOT NULL")
+    tested = chi_square(counts, key="snp", with_p=False).where("statistic IS NOT NULL")
     tested = tested.select("snp", "statistic", "dof", chi2_p("statistic", F.col("dof").cast("double")).alias("p_value"))
-    return fdr_adjust(tested, alpha=alpha, n_tests=n_snps)
+    return fdr_adjust(tested, alpha=alpha)
 
 
 def snp_association(df: DataFrame, target: str = domain.TARGET, *, alpha: float = domain.ALPHA) -> DataFrame:
     """Association scan of a wide table, ordered by adjusted p-value."""
     snps = snps_or_raise(df)
-    return association(snp_cube(df, target, snps), alpha=alpha, n_snps=len(snps)).orderBy("p_fdr", "snp")
+    return association(snp_cube(df, target, snps), alpha=alpha).orderBy("p_fdr", "snp")
 
 
 def significant_snps(df: DataFrame, target: str = domain.TARGET, *, alpha: float = domain.ALPHA) -> DataFrame:

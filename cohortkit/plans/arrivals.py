@@ -7,23 +7,25 @@ plus ``registry_date`` and the flags ``consent_raw``, ``consent_integrate`` and
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit import domain
 from cohortkit.functions.columns import normal_name, number, quoted, registry_timestamp
 from cohortkit.operators import columns as cols
 from cohortkit.operators.cleaning import GenotypeFit, PhenotypeFit, clean_genotypes, clean_phenotypes
-from cohortkit.operators.quality import consent_errors, date_error, keys_present
+from cohortkit.operators.quality import absent_rows, consent_errors, date_error, keys_present
 from cohortkit.operators.selection import Selection
 from cohortkit.operators.training import score
+from cohortkit.plans.cohort import train_from_store
 from cohortkit.plans.featurize import build_features
 from cohortkit.plans.store import CohortStore
 from cohortkit.session import materialise
-from cohortkit.sources.writers import append_feature_store, append_table
+from cohortkit.sources.writers import append_audit, append_feature_store, append_table
 
 CONSENTS = ["consent_raw", "consent_integrate", "consent_retrain"]
 
@@ -70,15 +72,24 @@ def arrival_errors(batch: DataFrame, scoring: Scoring) -> Column:
 
 
 def check_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore) -> DataFrame:
-    """Add ``errors`` to each row; patients that are stored already, or twice in the batch, are rejected too."""
+    """Add ``errors`` to each row.
+
+    Rows without a key, patients twice in the batch, and patients whose raw or clean
+    data is stored already are rejected too.
+    """
     spark = batch.sparkSession
     key = domain.KEY
-    repeated = batch.groupBy(key).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
-    checked = batch.withColumn("errors", arrival_errors(batch, scoring)).join(repeated, key)
-    extra = [F.when(F.col("_repeated"), "patient occurs twice in the batch")]
-    if spark.catalog.tableExists(store.phenotypes):
-        stored = keys_present(spark.table(store.phenotypes), batch).withColumn("_stored", F.lit(True))
-        checked = checked.join(stored, key, "left")
+    known = batch.where(quoted(key).isNotNull())
+    repeated = known.groupBy(key).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
+    checked = batch.withColumn("errors", arrival_errors(batch, scoring)).join(repeated, key, "left")
+    extra = [
+        F.when(quoted(key).isNull(), f"{key} is missing"),
+        F.when(F.col("_repeated"), "patient occurs twice in the batch"),
+    ]
+    tables = [t for t in (store.phenotypes, store.raw_keys) if spark.catalog.tableExists(t)]
+    if tables:
+        stored = reduce(DataFrame.unionByName, [keys_present(spark.table(t), known) for t in tables]).distinct()
+        checked = checked.join(stored.withColumn("_stored", F.lit(True)), key, "left")
         extra.append(F.when(F.col("_stored") & quoted("consent_raw"), "patient is already stored"))
     return checked.withColumn("errors", F.concat("errors", F.array_compact(F.array(*extra)))).drop(
         "_repeated", "_stored"
@@ -99,13 +110,17 @@ def clean_arrivals(valid: DataFrame, scoring: Scoring) -> tuple[DataFrame, DataF
     return pheno.join(dates, domain.KEY), geno
 
 
-def score_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore, *, label: str = "arrivals") -> DataFrame:
-    """Check and score a batch; stores nothing. Returns key, status, errors and probability."""
+def prepare_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore, *, label: str = "arrivals") -> tuple[DataFrame, DataFrame]:
+    """The checked batch, and the clean, joined rows of its valid part; each is written once."""
     batch = batch.toDF(*[normal_name(c) for c in batch.columns])
     checked = materialise(check_arrivals(batch, scoring, store), label)
     pheno, geno = clean_arrivals(checked.where(F.size("errors") == 0), scoring)
-    built = build_features(pheno.join(geno, domain.KEY))
-    scored = score(scoring.model, built, scoring.selection.features)
+    return checked, materialise(pheno.join(geno, domain.KEY), f"{label}-clean")
+
+
+def arrival_results(checked: DataFrame, clean: DataFrame, scoring: Scoring) -> DataFrame:
+    """Key, status, errors and probability of every row of a prepared batch."""
+    scored = score(scoring.model, build_features(clean), scoring.selection.features)
     return (
         checked.select(domain.KEY, "errors")
         .join(scored, domain.KEY, "left")
@@ -118,39 +133,65 @@ def score_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore, *, la
     )
 
 
+def score_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore, *, label: str = "arrivals") -> DataFrame:
+    """Check and score a batch; stores nothing. Returns key, status, errors and probability."""
+    return arrival_results(*prepare_arrivals(batch, scoring, store, label=label), scoring)
+
+
 def store_arrivals(batch: DataFrame, results: DataFrame, scoring: Scoring, store: CohortStore) -> None:
     """Store the scored rows of a batch as far as their consent goes.
 
-    Integration consent puts a row into the clean and merged tables, retraining
-    consent on top puts it into the feature store. Keys that a table holds already
-    are left out, so running this again stores nothing twice.
+    Used where the clean rows of the scoring run are gone, as when a stream runs a batch again.
     """
     key = domain.KEY
     batch = batch.toDF(*[normal_name(c) for c in batch.columns])
     accepted = batch.join(results.where("status = 'scored'").select(key), key, "left_semi")
-    pheno, geno = clean_arrivals(accepted.where("consent_integrate"), scoring)
-    joined = pheno.join(geno, key)
-    again = joined.where("consent_retrain")
+    pheno, geno = clean_arrivals(accepted, scoring)
+    store_clean(materialise(pheno.join(geno, key), "arrivals-clean"), scoring, store)
+
+
+def store_clean(clean: DataFrame, scoring: Scoring, store: CohortStore) -> None:
+    """Store clean, joined rows as far as their consent goes.
+
+    Raw consent leaves the key and an audit row; integration consent puts a row into the clean and
+    merged tables, retraining consent on top puts it into the feature store. Keys that
+    a table holds already are left out, so running this again stores nothing twice.
+    """
+    key, snps = domain.KEY, scoring.geno_fit.snps
+    kept = clean.where("consent_raw")
+    uploads = absent_rows(kept, store.raw_keys, key).select(
+        F.concat(F.lit("patient_"), F.col(key).cast("string")).alias("path"), F.lit("patient").alias("data_type"),
+        F.col(key).cast("string").alias("patient_id"), domain.REGISTRY_DATE,
+        F.col("consent_raw").alias("consent_raw_storage"), F.lit("arrival").alias("source"),
+    )
+    append_audit(uploads, store.audit, folder=store.folder)
+    joined = clean.where("consent_integrate").drop(*CONSENTS)
     tables = {
-        store.phenotypes: pheno.drop(*CONSENTS),
-        store.genotypes: geno,
-        store.merged: joined.drop(*CONSENTS),
+        store.raw_keys: kept.select(key),
+        store.phenotypes: joined.drop(*snps),
+        store.genotypes: joined.select(key, *snps),
+        store.merged: joined,
     }
     for name, rows in tables.items():
-        append_table(_absent(rows, name, key), name, folder=store.folder)
+        append_table(absent_rows(rows, name, key), name, folder=store.folder)
+    again = clean.where("consent_integrate and consent_retrain").drop(*CONSENTS)
     features = cols.split_target(build_features(again), scoring.selection.features, domain.TARGET, key)
-    append_feature_store(_absent(features, store.features, key), store.features, folder=store.folder)
+    append_feature_store(absent_rows(features, store.features, key), store.features, folder=store.folder)
 
 
 def process_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore, *, label: str = "arrivals") -> DataFrame:
     """Score a batch, then store what consent allows; the scores never depend on what was stored."""
-    results = materialise(score_arrivals(batch, scoring, store, label=label), f"{label}-scores")
-    store_arrivals(batch, results, scoring, store)
+    checked, clean = prepare_arrivals(batch, scoring, store, label=label)
+    results = materialise(arrival_results(checked, clean, scoring), f"{label}-scores")
+    store_clean(clean, scoring, store)
     return results
 
 
-def _absent(rows: DataFrame, name: str, key: str) -> DataFrame:
-    spark = rows.sparkSession
-    if not spark.catalog.tableExists(name):
-        return rows
-    return rows.join(keys_present(spark.table(name), rows, key), key, "left_anti")
+def retrain(spark: SparkSession, scoring: Scoring, store: CohortStore, model_path: str, seen: int, **options) -> tuple[Scoring, bool]:
+    """Train anew if the feature store holds more than the ``seen`` rows of the last training.
+
+    Returns the scoring state, with the new model if there is one, and whether there is.
+    """
+    if spark.table(store.features).count() <= seen:
+        return scoring, False
+    return replace(scoring, model=train_from_store(spark, store, model_path, **options).model), True

@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A summary table is broadcast only after a count showed it is at most this long.
-BROADCAST_ROWS = 4096
+# A summary is broadcast only if its written files hold at most this many bytes.
+BROADCAST_BYTES = 4 << 20
 
 
 def build_session(app: str = "cohortkit", master: str | None = None, **conf) -> SparkSession:
@@ -83,9 +83,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Run a summary once; broadcast its rows if few, else keep the shuffled plan."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Write a summary once; broadcast it if its files are small, else join it like any table.
+
+    Either way the written rows are used, so nothing is computed twice and the
+    choice changes the plan only, never the result.
+    """
+    written = materialise(df, "summary")
+    size = int(str(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(written) if size <= max_bytes else written

@@ -16,9 +16,11 @@ from cohortkit.operators.selection import Selection
 def read_csv(spark: SparkSession, path: str, types: Mapping[str, str] | None = None) -> DataFrame:
     """CSV with a header. Given ``types`` apply by column name, in any order; other columns are text.
 
-    Without ``types`` the types are inferred, which reads the data twice.
+    All files below ``path`` must have the same header; one with other columns or
+    another order fails instead of being read by position. Without ``types`` the
+    types are inferred, which reads the data twice.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if types is None:
         return reader.option("inferSchema", True).csv(path)
     header = reader.csv(path).columns

@@ -38,9 +38,13 @@ def replace_table(
     the written table, so nothing is computed twice) and is then renamed; if the
     job or the check fails, the old table stays. ``buckets`` stores it bucketed
     by the key: joins of tables with equal buckets need no shuffle. ``folder``
-    places the files there instead of in the warehouse.
+    places the files there instead of in the warehouse. The old table is set aside
+    under ``<name>__old`` until the new one has the name, and then removed with its
+    files; a run that finds only the table set aside gives it its name back first.
     """
     spark = df.sparkSession
+    if not table_exists(spark, name) and table_exists(spark, f"{name}__old"):
+        spark.sql(f"ALTER TABLE {name}__old RENAME TO {name}")
     staged = f"{name}__{uuid.uuid4().hex[:8]}"
     writer = df.write
     if buckets:
@@ -54,8 +58,22 @@ def replace_table(
         except Exception:
             spark.sql(f"DROP TABLE IF EXISTS {staged}")
             raise
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    aside = f"{name}__old"
+    if table_exists(spark, name):
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    if table_exists(spark, aside):
+        _drop_with_files(spark, aside)
+
+
+def _drop_with_files(spark: SparkSession, name: str) -> None:
+    """Drop a table and the files of an external one."""
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    spark.sql(f"DROP TABLE {name}")
+    if details.get("Type") == "EXTERNAL" and details.get("Location"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(details["Location"])
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def append_table(df: DataFrame, name: str, *, folder: str | None = None) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -19,13 +18,20 @@ def arriving(spark: SparkSession, folder: str, schema: T.StructType, *, max_file
     return reader.parquet(folder)
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to the end: the committed write leaves this mark."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def score_stream(
     arrivals: DataFrame, scoring: Scoring, store: CohortStore, results: str, checkpoint: str
 ) -> DataStreamWriter:
     """Process each micro-batch like a batch; results are written per batch id.
 
     Results are written before anything is stored. A batch that runs again after
-    a failure finds its results, keeps them, and only completes the storing.
+    a failure keeps its results if they were written to the end, writes them anew if
+    not, and completes the storing.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -33,12 +39,9 @@ def score_stream(
             return
         path = f"{results.rstrip('/')}/batch={batch_id}"
         spark = batch.sparkSession
-        try:
-            done = spark.read.parquet(path)
-        except AnalysisException:
-            score_arrivals(batch, scoring, store, label=f"batch-{batch_id}").write.parquet(path)
-            done = spark.read.parquet(path)
-        store_arrivals(batch, done, scoring, store)
+        if not _complete(spark, path):
+            score_arrivals(batch, scoring, store, label=f"batch-{batch_id}").write.mode("overwrite").parquet(path)
+        store_arrivals(batch, spark.read.parquet(path), scoring, store)
 
     return (
         arrivals.writeStream.foreachBatch(handle)

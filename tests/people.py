@@ -8,13 +8,14 @@ PHENO_COLUMNS = list(domain.RAW_PHENOTYPE_TYPES)
 
 # key: gender, age, smoking, bmi, hba1c, glucose, hypertension, dosage, genotype key
 FIVE = {
-    2501: ("Male", 37.0, "never", 35.42, 8.8, 280.0, 1.0, 2, 2501),
-    2502: ("Male", 80.0, "No Info", 30.98, 6.0, 240.0, 0.0, 2, 2502),
-    2503: ("Male", 43.0, "former", 20.52, 6.0, 140.0, 0.0, 1, 2503),
-    2504: ("Male", 56.0, "former", 49.42, 6.2, 160.0, 0.0, 2, 2504),
-    2505: ("Female", 46.0, "never", 30.36, 7.0, 280.0, 0.0, 0, 1448),
+    11: ("Female", 29.0, "ever", 17.9, 5.1, 95.0, 0.0, 0, 11),
+    12: ("Male", 30.0, "not current", 26.4, 6.6, 150.0, 1.0, 1, 12),
+    13: ("Female", 62.0, "current", 33.0, 7.2, 210.0, 1.0, 2, 13),
+    14: ("Male", 75.0, "No Info", 24.9, 5.9, 130.0, 0.0, 1, 14),
+    15: ("Female", 59.0, "never", 30.0, 6.4, 160.0, 0.0, 2, 77),
 }
-EXPECTED = {2501: (3, 1, 3, 0), 2502: (3, 4, 1, -1), 2503: (1, 1, 0, 1), 2504: (3, 2, 1, 1), 2505: (3, 2, 2, 0)}
+# By the rules of ``operators/features``: bmi group, age group, risk score, smoking code.
+EXPECTED = {11: (0, 0, 0, 1), 12: (2, 1, 2, 2), 13: (3, 3, 3, 3), 14: (1, 4, 0, -1), 15: (3, 2, 1, 0)}
 
 
 def _schema():

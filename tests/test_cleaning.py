@@ -16,7 +16,7 @@ def test_five_patients_get_the_expected_features(spark):
     }
     assert got == EXPECTED
     assert integrate.join_cohort(built, geno).count() == 4
-    assert [r["patient_id"] for r in integrate.unmatched(built, geno).collect()] == [2505]
+    assert [r["patient_id"] for r in integrate.unmatched(built, geno).collect()] == [15]
 
 
 def test_bins_are_left_closed_and_null_below_zero(spark):
@@ -59,17 +59,19 @@ def test_fitted_state_codes_one_new_row_like_the_cohort(spark):
     assert unseen.first()["gender"] is None
 
 
-def test_long_label_sets_are_fitted_as_a_table(spark, monkeypatch):
+def test_label_codes_are_fitted_as_a_table(spark):
     cohort = pheno_rows(spark, [{"patient_id": i, "gender": g} for i, g in enumerate("dbca")])
     ready = cleaning.prepare_phenotypes(cohort)
-    listed = cleaning.fit_phenotypes(ready)
-    monkeypatch.setattr(cleaning, "LITERAL_LABELS", 3)
     fit = cleaning.PhenotypeFit.from_json(cleaning.fit_phenotypes(ready).to_json())
-    assert fit.genders is None and fit.gender_codes
+    assert fit.gender_codes is None
+
+    fit.codes(spark).createOrReplaceTempView("kept_codes")
+    stored = cleaning.PhenotypeFit.from_json(fit.stored("kept_codes").to_json())
     new = pheno_rows(spark, [{"patient_id": i, "gender": g} for i, g in enumerate("cz")])
-    for f in (fit, listed):
+    for f in (fit, stored):
         rows = cleaning.encode_phenotypes(cleaning.prepare_phenotypes(new), f).collect()
         assert {r["patient_id"]: r["gender"] for r in rows} == {0: 2, 1: None}
+    spark.catalog.dropTempView("kept_codes")
 
 
 def test_out_of_range_and_missing_columns_raise(spark):

@@ -153,10 +153,19 @@ def test_features_are_routed_to_their_analysis(spark):
             analysis.relationship(df, feature, plot)
 
 
-def test_only_counted_small_tables_are_broadcast(spark):
+def test_only_tables_of_few_bytes_are_broadcast(spark):
     plan = lambda d: d._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" in plan(broadcast_if_small(spark.range(3), 3))
-    assert "strategy=broadcast" not in plan(broadcast_if_small(spark.range(4), 3))
+    assert "strategy=broadcast" in plan(broadcast_if_small(spark.range(3)))
+    assert "strategy=broadcast" not in plan(broadcast_if_small(spark.range(3), 10))
+
+
+def test_csv_files_with_another_column_order_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("age,bmi\n60,21.5\n")
+    (tmp_path / "b.csv").write_text("bmi,age\n21.5,60\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, str(tmp_path), {"age": "double", "bmi": "double"}).collect()
+    (tmp_path / "b.csv").write_text("age,bmi\n61,22.5\n")
+    assert readers.read_csv(spark, str(tmp_path), {"age": "double", "bmi": "double"}).count() == 2
 
 
 def test_scratch_is_named_by_the_session_and_can_be_released(spark):

@@ -53,11 +53,10 @@ def test_zero_cells_count_and_single_levels_are_undefined(spark):
     assert one["statistic"] is None and one["p_value"] is None
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_fractional_dosages_are_left_out_of_the_scan(spark, few):
+def test_fractional_dosages_are_left_out_of_the_scan(spark):
     rows = [(i, d, y) for i, (d, y) in enumerate([(0.0, 0)] * 9 + [(1.0, 1)] * 8 + [(2.0, 1)] * 3 + [(0.7, 0)] * 50)]
     df = spark.createDataFrame([(*r, 1.0) for r in rows], "patient_id int, rs1 double, diabetes int, rs2 double")
-    scan = snp.association(snp.snp_cube(df), n_snps=2 if few else None).collect()
+    scan = snp.association(snp.snp_cube(df)).collect()
     assert [r["snp"] for r in scan] == ["rs1"]  # rs2 has one level only
     assert scan[0]["statistic"] == pytest.approx(20.0) and scan[0]["dof"] == 2
 
@@ -82,11 +81,11 @@ def test_allele_frequency_folds(spark):
     assert snp.minor_allele_frequency(df).first()["maf"] == pytest.approx(1 / 6)
 
 
-@pytest.mark.parametrize("direct_rows", [0, 10**6])
-def test_false_discovery_adjustment(spark, direct_rows):
+@pytest.mark.parametrize("buckets", [1, 4, None])
+def test_false_discovery_adjustment(spark, buckets):
     p = [0.01, 0.02, 0.02, 0.04, 0.5, 0.9, 0.9, None]
     df = spark.createDataFrame(list(enumerate(p)), "id int, p_value double")
-    out = hypothesis.fdr_adjust(df, direct_rows=direct_rows).orderBy("id").collect()
+    out = hypothesis.fdr_adjust(df, buckets=buckets).orderBy("id").collect()
     known = [v for v in p if v is not None]
     order, m, low = sorted(range(len(known)), key=lambda i: known[i]), len(known), 1.0
     expected = [0.0] * m
@@ -125,8 +124,7 @@ def test_screen_adjusts_both_families_together(spark):
     assert out["bmi"]["p_fdr"] == pytest.approx(min(1, out["bmi"]["p_value"] * 4))
 
 
-@pytest.mark.parametrize("pairs", [0, 100])
-def test_correlations_are_pairwise_complete(spark, pairs):
+def test_correlations_are_pairwise_complete(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(60, 3)) + 1e6
     x[:, 1] += x[:, 0]
@@ -134,7 +132,7 @@ def test_correlations_are_pairwise_complete(spark, pairs):
     df = spark.createDataFrame(rows, "a double, b double, c double, k double").repartition(4)
     got = {
         (r["feature_a"], r["feature_b"]): r["r"]
-        for r in correlation.correlation_pairs(df, ["a", "b", "c", "k"], expression_pairs=pairs).collect()
+        for r in correlation.correlation_pairs(df, ["a", "b", "c", "k"]).collect()
     }
     keep = np.arange(60) % 4 != 0
     assert got["a", "b"] == pytest.approx(np.corrcoef(x[:, 0], x[:, 1])[0, 1], abs=1e-9)
@@ -198,12 +196,49 @@ def test_histograms_count_like_numpy(spark):
 
 def test_box_and_scatter(spark):
     df = spark.createDataFrame([(float(v), 0) for v in [1, 2, 3, 4, 5, 50]] + [(None, 1)], "v double, diabetes int")
-    for rows in (0, 100):
-        box = distribution.box_statistics(df, "v", direct_rows=rows).first()
-        assert (box["q1"], box["median"], box["q3"]) == (2.25, 3.5, 4.75)
-        assert (box["whisker_low"], box["whisker_high"], box["n_outliers"]) == (1.0, 5.0, 1)
-    points = distribution.scatter_points(df, "v").collect()
-    assert len(points) == 6 and all(abs(p["x"]) <= 0.05 for p in points)
+    box = distribution.box_statistics(df, "v").first()
+    assert (box["q1"], box["median"], box["q3"]) == (2.25, 3.5, 4.75)
+    assert (box["whisker_low"], box["whisker_high"], box["n_outliers"]) == (1.0, 5.0, 1)
+    keyed = df.selectExpr("*", "cast(v as bigint) as patient_id")
+    points = sorted((p["y"], p["x"]) for p in distribution.scatter_points(keyed, "v").collect())
+    assert len(points) == 6 and all(abs(x) <= 0.05 for _, x in points)
+    assert points == sorted((p["y"], p["x"]) for p in distribution.scatter_points(keyed.repartition(5), "v").collect())
+
+
+def test_correlations_do_not_depend_on_the_columns_offered(spark):
+    rows = [(5 + 1e-7 * (i % 2), 1.0 * (i // 2 % 2) if i < 100 else None) for i in range(100)]
+    rows += [(1e3 * i, None) for i in range(100, 200)]
+    rows = [(a, b, 0.1, *(float((i * (k + 3)) % 17) for k in range(40))) for i, (a, b) in enumerate(rows)]
+    names = ["a", "b", "k", *(f"x{k}" for k in range(40))]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(3)
+    many = {(r["feature_a"], r["feature_b"]): r["r"] for r in correlation.correlation_pairs(df, names).collect()}
+    x, y = np.array([r[0] for r in rows[:100]]), np.array([r[1] for r in rows[:100]])
+    assert many["a", "b"] == pytest.approx(np.corrcoef(x - 5, y)[0, 1], abs=1e-6)
+    assert many["a", "k"] is None and all(r is None or -1 <= r <= 1 for r in many.values())
+    for pair in (("a", "b"), ("a", "k"), ("b", "x3"), ("x0", "x39")):
+        alone = correlation.correlation_pairs(df, list(pair)).first()["r"]
+        assert (alone is None) == (many[pair] is None)
+        assert alone is None or alone == pytest.approx(many[pair], abs=1e-7)
+
+
+def test_tails_of_large_tables():
+    for dof in (1e5, 2e5, 3e5, 1e8, 1e10):
+        assert 0.499 < chi2_tail(dof, dof) < 0.5
+    assert chi2_tail(1.999e5, 1.999e5) == pytest.approx(chi2_tail(2.001e5, 2.001e5), abs=1e-6)
+    assert chi2_tail(2.02e5, 1.9999e5) == pytest.approx(chi2_tail(2.0202e5, 2.0001e5), rel=2e-2)
+
+
+def test_overview_counts_nan_like_missing_values(spark):
+    from cohortkit.operators import profile
+
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "b")], "v double, t string")
+    whole = profile.overview(df, "x").first()["missing_values"]
+    assert whole == {r["column"]: r["missing"] for r in profile.missing_values(df).collect()} == {"v": 2, "t": 1}
+
+
+def test_names_with_quotes(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 1), (1.0, 1)], "`rs'1\\` double, diabetes int")
+    assert snp.minor_allele_frequency(df, ["rs'1\\"]).first()["snp"] == "rs'1\\"
 
 
 def test_time_keys(spark):

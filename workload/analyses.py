@@ -254,14 +254,23 @@ def class_box_statistics(spark, folder):
     _box_sql(f"SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS class, {_SKEWED} AS value FROM lineitem", True),
 )
 def narrowed_box_statistics(spark, folder):
-    """The same statistics by the plan for tables too large for ``percentile``."""
+    """The same statistics from a table cut into many files."""
     line = table(spark, folder, "lineitem").selectExpr(f"{_SKEWED} AS v", "int(l_returnflag = 'R') AS diabetes")
-    return rounded(distribution.box_statistics(line, "v", "diabetes", direct_rows=0), 2, *BOX)
+    return rounded(distribution.box_statistics(line.repartition(40), "v", "diabetes"), 2, *BOX)
 
 
-@query("scatter_points")
+# A row order that both engines can compute; the library's own order is a hash of the key.
+_LINE_TOKEN = "((l_orderkey * 8 + l_linenumber) % 2147483648 * 2654435761) % 2147483648"
+
+
+@query(
+    "scatter_points",
+    f"SELECT round(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END + CAST({_LINE_TOKEN} AS DOUBLE) / 2147483648 * 0.1 - 0.05, 9) AS x, "
+    "CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem WHERE l_extendedprice IS NOT NULL",
+)
 def scatter_points(spark, folder):
-    return distribution.scatter_points(_classed(spark, folder), "l_extendedprice")
+    line = table(spark, folder, "lineitem").selectExpr("*", "int(l_returnflag = 'R') AS diabetes")
+    return rounded(distribution.scatter_points(line, "l_extendedprice", token=F.expr(_LINE_TOKEN)), 9, "x")
 
 
 @query(

@@ -382,10 +382,10 @@ def storage_policy(spark, folder):
 @query(
     "consent_check",
     "SELECT patient_id, concat_ws(' | ', "
-    "CASE WHEN NOT consent_raw AND consent_integrate THEN 'Without raw storage consent, integration is not possible.' END, "
-    "CASE WHEN NOT consent_raw AND consent_retrain THEN 'Retrain consent requires raw storage and integration consent.' END, "
-    "CASE WHEN consent_integrate AND NOT consent_retrain THEN 'Integration consent without retrain consent does not make sense.' END, "
-    "CASE WHEN consent_retrain AND NOT consent_integrate THEN 'Retrain consent without integration consent does not make sense.' END "
+    "CASE WHEN NOT consent_raw AND consent_integrate THEN 'integrate_without_raw' END, "
+    "CASE WHEN NOT consent_raw AND consent_retrain THEN 'retrain_without_raw' END, "
+    "CASE WHEN consent_integrate AND NOT consent_retrain THEN 'integrate_without_retrain' END, "
+    "CASE WHEN consent_retrain AND NOT consent_integrate THEN 'retrain_without_integrate' END "
     ") AS problems FROM requests",
 )
 def consent_check(spark, folder):
