@@ -119,16 +119,25 @@ def _prints(first: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _sketches(first: np.ndarray, sets: np.ndarray) -> pa.Array:
-    """How many shingles of each set fall into each of 64 hash classes, a byte each.
+    """How many shingles of each set fall into each of 64 hash classes, a byte each, or four if a class has more than 255.
 
-    The sum of the smaller counts bounds an intersection from above. A set with more than 255
-    in a class gets 255 in all, which only loosens the bound.
+    The sum of the smaller counts bounds an intersection from above.
     """
     rows = len(first) - 1
     row = np.repeat(np.arange(rows), np.diff(first))
     counts = np.bincount((row << 6) | (sets >> np.uint64(58)).astype(np.int64), minlength=rows << 6).reshape(rows, 64)
-    counts[(counts > 255).any(1)] = 255
-    return pa.array([x.tobytes() for x in counts.astype(np.uint8)], pa.binary())
+    wide = (counts > 255).any(1).tolist()
+    return pa.array([x.astype("<u4" if w else np.uint8).tobytes() for x, w in zip(counts, wide, strict=True)], pa.binary())
+
+
+def _counts(sketches: pa.Array) -> np.ndarray:
+    """The class counts of sketches of either width, a row each."""
+    raw = sketches.to_pylist()
+    wide = np.array([len(x) > 64 for x in raw], bool)
+    out = np.empty((len(raw), 64), np.uint32)
+    out[~wide] = np.frombuffer(b"".join(x for x in raw if len(x) == 64), np.uint8).reshape(-1, 64)
+    out[wide] = np.frombuffer(b"".join(x for x in raw if len(x) > 64), "<u4").reshape(-1, 64)
+    return out
 
 
 def _may_link(rule: Rule):
@@ -136,7 +145,7 @@ def _may_link(rule: Rule):
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, 64) for c in ("sketch_a", "sketch_b"))
+            a, b = (_counts(batch.column(c)) for c in ("sketch_a", "sketch_b"))
             most = np.minimum(a, b).sum(1, dtype=np.int64)
             total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
             yield batch.select(["a", "b"]).filter(pa.array((rule.num + rule.den) * most >= rule.num * total))

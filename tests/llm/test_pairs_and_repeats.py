@@ -24,6 +24,24 @@ def test_components(spark, k, num, den):
         assert {d: r["n_shingles"] for d, r in got.items()} == {d: len(brute.shingles(t, k)) for d, t in rows}
 
 
+@pytest.mark.parametrize(("k", "num", "den"), [(3, 90, 100), (5, 80, 100)])
+def test_near_copies_of_very_long_documents(spark, k, num, den):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(5000)}" for _ in range(20_500)]
+    other = [f"w{rng.randrange(5000)}" for _ in range(20_500)]
+    rows = [(1, " ".join(other))]
+    for d, changed in ((5, 0), (3, 1), (9, 3), (7, 2000)):
+        w = list(base)
+        for at in rng.sample(range(len(w)), changed):
+            w[at] = "x"
+        rows.append((d, " ".join(w)))
+    rows += [(11, " ".join(base[:19_400])), (12, " ".join(other[:300])), (13, " ".join(other[:299]))]
+    got = setjoin.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), k, num, den).collect()
+    want = brute.components(rows, k, num, den)
+    assert want[9] == want[11] == 3 and want[13] == 12 and want[1] == 1
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_light_sets_of_three_sizes_need_their_own_overlap():
     rule = setjoin.Rule(90, 100)
     assert (20, 19) in rule.partners(19, 40) and (18, 18) in rule.partners(20, 40)
