@@ -11,8 +11,8 @@ it, the order of arrival: one append-only queue per symbol, kept in files but fo
 its newest items. Each item is a suffix with the length it shares with the item
 before it. An item that makes its predecessor a suffix of the wanted kind sends
 it to the predecessor's symbol; what the two share is one more than the least
-value since the last item sent there. Items pass in chunks, so memory does
-not depend on the size of the shard. Orders and lengths are right up to ``depth`` bytes.
+value since the last item sent there. Items pass in chunks; kinds, seeds, names and
+ranks are arrays over the whole text, so callers bound its size. Orders and lengths are right up to ``depth`` bytes.
 """
 
 from __future__ import annotations

@@ -2,13 +2,16 @@
 
 import random
 import tempfile
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortkit.llm import decontaminate, setjoin, suffix
 from cohortkit.llm.components import connected_components
 from cohortkit.llm.induced import repeated_windows
+from cohortkit.llm.scoring import EliasFano
 from tests.llm import brute
 
 ODD = "doc_id long, text string, n long, component_id long, kept string, spans string"
@@ -118,6 +121,43 @@ def test_repeats_are_cut(spark, length):
         bytes(r["kept"]).decode()
 
 
+@pytest.mark.parametrize(("piece", "many"), [(3000, 5), (3000, 1 << 20), (1 << 20, 5), (0, 0)])
+def test_repeats_about_a_common_line(spark, piece, many):
+    rng = random.Random(9)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghij é\n") for _ in range(n))
+
+    line, passage = noise(70), noise(210)
+    shared = [noise(60) + line + noise(90) for _ in range(3)]
+    texts = [noise(rng.randrange(300)) + line + noise(rng.randrange(300)) for _ in range(40)]
+    texts += [noise(100) + passage + noise(100) for _ in range(12)]
+    texts += [noise(50) + s + noise(50) for s in shared for _ in range(2)] + [texts[0], line * 5, noise(500)]
+    rows = list(enumerate(texts))
+    got = suffix.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), piece=piece, many=many).collect()
+    got = {r["doc_id"]: (([(s["start"], s["length"]) for s in r["spans"]]), bytes(r["kept"])) for r in got}
+    assert got == dict(enumerate(brute.repeats(texts, 200)))
+
+
+def test_a_shard_is_sorted_in_pieces_of_whole_grams(tmp_path):
+    rng = np.random.default_rng(4)
+    grams = rng.integers(-(1 << 62), 1 << 62, 300)[rng.integers(0, 300, 5000)]
+    rows = pa.record_batch({"gram": pa.array(grams), "bytes": pa.array([bytes(300)] * 5000, pa.binary())})
+    pieces = list(suffix._pieces((rows.slice(i, 500) for i in range(0, 5000, 500)), str(tmp_path), 200_000))
+    of = [np.concatenate([b.column("gram").to_numpy() for b in p]) for p in pieces]
+    assert len(of) > 5 and max(map(len, of)) * 300 < 250_000
+    assert sorted(np.concatenate(of)) == sorted(grams)
+    assert sum(len(np.unique(x)) for x in of) == len(np.unique(grams))
+    assert not list(tmp_path.iterdir())
+
+
+def test_a_gram_of_many_contexts_is_not_compared_in_one_place():
+    prints = np.arange(50, dtype=np.uint64)
+    frame = {"shard": [0], "block": ["b"], "keys": [EliasFano.pack(np.full(50, 7), 60)], "prints": [prints.tobytes()]}
+    few, many = (np.frombuffer(zlib.decompress(suffix._judge(frame, n)["reply"][0]), np.uint8) for n in (50, 49))
+    assert (few == 2).all() and (many == 4).all()
+
+
 def test_repeats_in_an_empty_table(spark):
     assert suffix.cut_repeats(spark.createDataFrame([], ODD)).collect() == []
     assert suffix.cut_repeats(spark.createDataFrame([(1, None), (None, "")], "doc_id long, text string")).count() == 2
