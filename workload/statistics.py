@@ -246,7 +246,7 @@ def top_significant_snps(spark, folder):
 )
 def top_snp_frequencies(spark, folder):
     cube = snp.snp_cube(view(spark, folder, "snps"))
-    scan = snp.association(cube, n_snps=len(SNP_NAMES))
+    scan = snp.association(cube)
     return rounded(snp.genotype_frequencies(cube, scan, 10), 6, "freq_0", "freq_1", "freq_2")
 
 
