@@ -7,7 +7,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
-    ELSE list_transform(range(1, len(w) - 1), s -> w[s : s + 2]) END) AS shingle FROM words
+    ELSE list_transform(range(1, len(w) - 1), lambda s: w[s : s + 2]) END) AS shingle FROM words
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), links AS (
@@ -28,12 +28,12 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN least_reached c O
 
 TOP_K = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    CAST(list_sum(list_transform(list_zip(q.v, c.v), t -> t[1] * t[2])) AS BIGINT) AS score
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda t: t[1] * t[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
 ), ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
@@ -52,7 +52,7 @@ WITH docs AS (
 ), sized AS (
   SELECT item_id, w, least(len(w), 10) AS n FROM items WHERE len(w) > 0
 ), wanted AS (
-  SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), s -> array_to_string(w[s : s + n - 1], ' '))) AS phrase
+  SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda s: array_to_string(w[s : s + n - 1], ' '))) AS phrase
   FROM sized
 ), lengths AS (
   SELECT DISTINCT n FROM wanted
