@@ -70,3 +70,88 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
   c.n_hit IS NOT NULL AS contaminated
 FROM docs d LEFT JOIN covered c ON c.r = d.r LEFT JOIN listed l ON l.r = d.r
 """
+
+_ALL_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC_BIT = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END"
+
+RESAMPLE = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+), used AS (
+  SELECT r, unnest(w) AS word FROM docs
+), wanted AS (
+  SELECT unnest({_WORDS}) AS word FROM benchmark
+), spelled AS (
+  SELECT word, list_transform(range(0, strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::UBIGINT) AS bytes
+  FROM (SELECT word FROM used UNION SELECT word FROM wanted)
+), hashed AS (
+  SELECT word, CAST(xor(list_reduce(bytes, lambda s, b: list_reduce(range(0, 8), lambda c, k: {_CRC_BIT}, xor(s, b)),
+    4294967295::UBIGINT), 4294967295::UBIGINT) % 10000 AS BIGINT) AS bucket FROM spelled
+), source AS (
+  SELECT bucket, count(*) AS s FROM used JOIN hashed USING (word) GROUP BY bucket
+), target AS (
+  SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (word) GROUP BY bucket
+), gains AS (
+  SELECT b.bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM used) + 10000)
+    / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM wanted) + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT DISTINCT bucket FROM hashed) b LEFT JOIN source USING (bucket) LEFT JOIN target USING (bucket)
+), weights AS (
+  SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM used JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (r)
+), ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features DESC) AS place, (10 * count(*) OVER ()) // 100 AS drawn
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM scored LEFT JOIN ranked USING (r)
+"""
+
+_KEY = _LOWERED.format("regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')")
+
+LINES = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), lines AS (
+  SELECT r, doc_id, unnest(l) AS line, unnest(range(0, len(l))) AS place FROM docs
+), keyed AS (
+  SELECT r, doc_id, line, place, {_KEY} AS key FROM lines
+), common AS (
+  SELECT key, max(doc_id) AS keep FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT k.r, k.line, k.place, c.key IS NOT NULL AND k.doc_id IS NOT NULL AND k.doc_id <> c.keep AS gone FROM keyed k LEFT JOIN common c ON c.key = k.key
+), told AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS kept FROM marked GROUP BY r
+)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM docs JOIN told USING (r)
+"""
+
+SEARCH = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_ALL_WORDS} AS w FROM documents
+), used AS (
+  SELECT r, {_LOWERED.format('unnest(w)')} AS term FROM docs
+), counted AS (
+  SELECT r, term, count(*) AS tf FROM used GROUP BY r, term
+), total AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs WHERE len(w) > 0
+), norms AS (
+  SELECT r, doc_id, 25 + (75 * len(w) * n_docs) // n_terms AS m FROM docs, total WHERE len(w) > 0
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * max(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM counted, total GROUP BY term
+), items AS (
+  SELECT row_number() OVER () AS i, item_id, {_ALL_WORDS} AS w FROM benchmark
+), asked AS (
+  SELECT i, term, count(*) AS often FROM (SELECT i, {_LOWERED.format('unnest(w)')} AS term FROM items) GROUP BY i, term
+), scored AS (
+  SELECT i, r, doc_id, CAST(sum(often * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN norms USING (r) GROUP BY i, r, doc_id
+), ranked AS (
+  SELECT i, doc_id, score, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (i) WHERE rank <= 10
+"""

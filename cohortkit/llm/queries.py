@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import chat, decontaminate, knn, language, oracles, ordering, packing, scoring, setjoin, suffix, toxicity
+from cohortkit.llm import (
+    chat, decontaminate, knn, language, lines, oracles, ordering, packing, resample, scoring, search, setjoin, suffix, toxicity,
+)
 from cohortkit.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +109,20 @@ def op4_suffix_dedup(spark, folder):
 @query("op1_shingle_jaccard", oracles.SHINGLE_JACCARD)
 def op1_shingle_jaccard(spark, folder):
     return setjoin.components(table(spark, folder, "documents"), k=3, num=90, den=100)
+
+
+@query("op11_importance_resampling", oracles.RESAMPLE)
+def op11_importance_resampling(spark, folder):
+    drawn = resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_line_dedup", oracles.LINES)
+def op12_line_dedup(spark, folder):
+    kept = lines.drop_repeated_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op13_ranked_search", oracles.SEARCH)
+def op13_ranked_search(spark, folder):
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -108,3 +110,70 @@ def near_copies(seed=5, n=60):
     rows += ["", None, "   ", "one", "ONE", "one two", "one two", "a\tb\nc", "A b  c", "é É è"]
     rng.shuffle(rows)
     return [(i * 3 + 1, t) for i, t in enumerate(rows)]
+
+
+def resample(docs, target, share, longest, buckets, seed, least_words):
+    """(doc_id, n_features, weight, score, rank) of (doc_id, text) rows."""
+
+    def features(text):
+        w = letters(text)
+        return [" ".join(w[i : i + n]) for n in range(1, longest + 1) for i in range(len(w) - n + 1)]
+
+    def totals(texts):
+        out = [0] * buckets
+        for t in texts:
+            for f in features(t):
+                out[zlib.crc32(f.encode()) % buckets] += 1
+        return out
+
+    s, t = totals(x for _, x in docs), totals(target)
+    gain = [math.floor(1000 * math.log((b + 1) * (sum(s) + buckets) / ((a + 1) * (sum(t) + buckets)))) for a, b in zip(s, t, strict=True)]
+    rows = []
+    for doc, text in docs:
+        found = features(text)
+        weight = sum(gain[zlib.crc32(f.encode()) % buckets] for f in found)
+        h = int(hashlib.sha256(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        rows.append([doc, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, len(letters(text))])
+    able = sorted((r for r in rows if r[5] >= least_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0, -r[1], -r[5]))
+    for place, r in enumerate(able[: share[0] * len(able) // share[1]]):
+        r[4] = place + 1
+    return [tuple(r[:5]) for r in rows]
+
+
+def repeated_lines(docs, least_chars, least_docs):
+    """(doc_id, kept text, lines, dropped lines) of (doc_id, text) rows."""
+    blanks = " \t\n\x0b\x0c\r"
+    holders = defaultdict(set)
+    for doc, text in docs:
+        for line in (text or "").split("\n"):
+            key = line.strip(blanks).translate(LOWER)
+            if doc is not None and len(key) >= least_chars:
+                holders[key].add(doc)
+    out = []
+    for doc, text in docs:
+        split = (text or "").split("\n")
+        kept = []
+        for line in split:
+            ids = holders.get(line.strip(blanks).translate(LOWER), ())
+            if doc is None or len(ids) < least_docs or doc == max(ids):
+                kept.append(line)
+        out.append((doc, "\n".join(kept), len(split), len(split) - len(kept)))
+    return out
+
+
+def search(docs, items, k, b):
+    """(item_id, rank, doc_id, score) of (doc_id, text) and (item_id, text) rows."""
+    bags = [(d, Counter(letters(t))) for d, t in docs]
+    bags = [(d, c) for d, c in bags if c]
+    total, df = sum(sum(c.values()) for _, c in bags), Counter(t for _, c in bags for t in c)
+    n_docs, out = len(bags), []
+    weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for t, n in df.items()}
+    for item, text in items:
+        found = []
+        for doc, c in bags:
+            m = 100 - b + (b * sum(c.values()) * n_docs) // total
+            score = sum(weight[t] * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t in letters(text) if t in c)
+            if score > 0:
+                found.append((-score, doc is None, doc or 0))
+        out += [(item, i + 1, None if none else doc, -s) for i, (s, none, doc) in enumerate(sorted(found)[:k])]
+    return out
