@@ -48,8 +48,8 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, pivots: int = PIV
 
     Both tables hold (vec_id, v array<long>), as ``scaled`` makes them. A query's own id is no
     candidate; ties go to the smaller vec_id; a query and a vector of another
-    length do not meet; repeated rows of an id count each. Fewer than ``k``
-    candidates give fewer rows.
+    length do not meet; repeated rows of an id count each, as queries and as candidates (and of
+    equal score and id, in any order). Fewer than ``k`` candidates give fewer rows.
     """
     spark = vectors.sparkSession
     stored = materialise(vectors.select("vec_id", "v", F.size("v").alias("dim")), "vectors")
@@ -65,6 +65,24 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, pivots: int = PIV
     return results.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def query_groups(centre: np.ndarray, sizes: dict[int, int], most: int = QUERY_BLOCK) -> list[tuple[int, int, int]]:
+    """(cell, group, blocks) of each cell with queries: a chain of near cells, cut where a group would pass ``most`` queries.
+
+    A cell with more queries is a group of its own, dealt into blocks.
+    """
+    left, out, group, held = sorted(sizes), [], -1, most + 1
+    at = left[0] if left else None
+    while left:
+        left.remove(at)
+        if held + sizes[at] > most:
+            group, held = group + 1, 0
+        held += sizes[at]
+        out.append((at, group, -(-sizes[at] // most)))
+        if left:
+            at = min(left, key=lambda c: (float(((centre[c] - centre[at]) ** 2).sum()), c))
+    return out
+
+
 def _one_dimension(asked: DataFrame, stored: DataFrame, count: int, k: int, pivots: int) -> DataFrame:
     # Distinct vectors among a bounded number of rows, by the hash of the id.
     drawn = stored.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()
@@ -82,27 +100,24 @@ def _one_dimension(asked: DataFrame, stored: DataFrame, count: int, k: int, pivo
 
     placed = materialise(stored.select("vec_id", "v").mapInPandas(assign, "vec_id long, v array<long>, cell int, distance double"), "cells")
 
-    # Per task the k + 1 smallest distances of each cell (a query's own row may be one) and the largest.
+    # Per cell the nearest rows to its pivot, at most k of an id and 2 k in all: whatever
+    # id a query has, and however often that id repeats, k rows of other ids are left.
+    def nearest(frame):
+        frame = frame.sort_values(["distance", "vec_id"], kind="stable")
+        return frame[frame.groupby(["cell", "vec_id"]).cumcount() < k].groupby("cell").head(2 * k)
+
     def summary(frames):
-        near: dict[int, np.ndarray] = {}
-        far: dict[int, float] = {}
+        near = None
         for frame in frames:
-            for cell, d in frame.groupby("cell")["distance"]:
-                d = d.to_numpy()
-                near[cell] = np.sort(np.concatenate([near.get(cell, d[:0]), d]))[: k + 1]
-                far[cell] = max(far.get(cell, 0.0), float(d.max()))
-        yield pd.DataFrame({"cell": np.array(list(near), np.int32), "near": [x.tolist() for x in near.values()], "far": [far[c] for c in near]})
-
-    merged = (
-        placed.select("cell", "distance").mapInPandas(summary, "cell int, near array<double>, far double")
-        .select("cell", "far", F.explode("near").alias("d"))
-    )
-    nearest = Window.partitionBy("cell").orderBy("d")
-    rows = merged.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1).groupBy("cell").agg(
-        F.sort_array(F.collect_list("d")).alias("near")).join(merged.groupBy("cell").agg(F.max("far").alias("far")), "cell").collect()
-    low = np.full((len(centre), k + 1), np.inf)
-    for r in rows:
-        low[r["cell"], : len(r["near"])] = r["near"]
+            near = nearest(frame if near is None else pd.concat([near, frame]))
+        if near is not None:
+            yield near[["cell", "vec_id", "distance"]]
+
+    merged = placed.select("cell", "vec_id", "distance").mapInPandas(summary, "cell int, vec_id long, distance double")
+    low, owner = np.full((len(centre), 2 * k), np.inf), np.zeros((len(centre), 2 * k), np.int64)
+    of_cell = merged.groupBy("cell").applyInPandas(nearest, "cell int, vec_id long, distance double").toPandas()
+    for cell, rows in of_cell.groupby("cell"):
+        low[cell, : len(rows)], owner[cell, : len(rows)] = rows["distance"], rows["vec_id"]
     # A margin over the rounding of the distances.
     slack = 1e-6 * (1 + float(np.abs(centre).max(initial=0)) ** 2 * centre.shape[1])
 
@@ -116,23 +131,25 @@ def _one_dimension(asked: DataFrame, stored: DataFrame, count: int, k: int, pivo
             centred = q @ centre.T
             with np.errstate(invalid="ignore"):
                 lowest = centred[:, :, None] - norm[:, None, None] * np.where(np.isinf(low), 0, low)[None]
-            lowest = np.where(np.isinf(low)[None], -np.inf, lowest).reshape(len(q), -1)
-            # The k + 1 best lower bounds leave k without the query itself.
-            kth = np.partition(lowest, lowest.shape[1] - k - 1, axis=1)[:, lowest.shape[1] - k - 1] - slack
+            own = owner[None] == frame["vec_id"].to_numpy(np.int64)[:, None, None]
+            lowest = np.where(np.isinf(low)[None] | own, -np.inf, lowest).reshape(len(q), -1)
+            kth = np.partition(lowest, lowest.shape[1] - k, axis=1)[:, lowest.shape[1] - k] - slack
             need = np.where(norm[:, None] > 0, (kth[:, None] - centred) / np.maximum(norm[:, None], 1e-9), np.where(kth[:, None] <= centred, -np.inf, np.inf))
             yield pd.DataFrame({"vec_id": frame["vec_id"], "v": frame["v"], "cell": cell.astype(np.int32), "need": [n.tolist() for n in need]})
 
     bounded = materialise(asked.select("vec_id", "v").mapInPandas(bounds, "vec_id long, v array<long>, cell int, need array<double>"), "bounds")
-    sizes = bounded.groupBy("cell").agg(F.count("*").alias("n"))
-    blocks = sizes.select("cell", F.ceil(F.col("n") / QUERY_BLOCK).cast("int").alias("blocks"))
-    grouped = bounded.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    sizes = {r["cell"]: r["n"] for r in bounded.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    # Neighbouring cells form a group up to a block of queries: a vector is sent once to each group that needs it.
+    spark = asked.sparkSession
+    groups = F.broadcast(spark.createDataFrame(query_groups(centre, sizes), "cell int, group int, blocks int"))
+    grouped = bounded.join(groups, "cell").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     # One row per group block and cell: from which distance on vectors of the cell are needed.
-    reach = grouped.select("cell", "block", F.posexplode("need").alias("other", "from")).groupBy("cell", "block", "other").agg(F.min("from").alias("from"))
+    reach = grouped.select("group", "block", F.posexplode("need").alias("cell", "from")).groupBy("group", "block", "cell").agg(F.min("from").alias("from"))
     slices = max(1, -(-count // VECTOR_BLOCK))
-    needed = materialise(reach.select(F.col("cell").alias("group"), "block", F.col("other").alias("cell"), "from"), "reach")
+    needed = materialise(reach, "reach")
     sent = placed.join(needed, "cell").where(F.col("distance") >= F.col("from") - 1e-6 * (1 + F.abs("from"))).select(
         "group", "block", F.pmod(F.xxhash64("vec_id"), F.lit(slices)).cast("int").alias("slice"), "vec_id", "v")
-    spread = grouped.select(F.col("cell").alias("group"), "block", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), "vec_id", "v")
+    spread = grouped.select("group", "block", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), "vec_id", "v")
 
     def solve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0, np.int64)}

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cohortkit.llm import chat, knn, ordering, packing, queries
@@ -183,4 +184,26 @@ def test_top_k_of_large_components(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
+
+
+@pytest.mark.parametrize("pivots", [3, 300])
+def test_top_k_of_repeated_query_ids(spark, pivots):
+    rng = np.random.default_rng(6)
+    rows = [(0, [float(x) for x in rng.normal(size=4) * 3]) for _ in range(11)]
+    rows += [(i, [float(x) for x in rng.normal(size=4)]) for i in range(1, 60)] + [(100, [9.0, 9.0, 9.0, 9.0])] * 25 + [(200, rows[0][1])] * 2
+    vectors = knn.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4))
+    asked = [0, 100, 200]
+    got = {}
+    for r in knn.top_k(vectors.where(F.col("vec_id").isin(asked)), vectors, pivots=pivots).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    whole = [(i, np.floor(1024 * np.array(v)).astype(np.int64)) for i, v in rows]
+    for q in asked:
+        best = sorted((-int(x @ y), j) for i, x in whole if i == q for j, y in whole if j != q)[:10]
+        assert sorted(got[q]) == [(n + 1, j, -s) for n, (s, j) in enumerate(best)], q
+
+
+def test_queries_of_near_cells_form_groups():
+    centre = np.array([[0.0], [10.0], [1.0], [11.0]])
+    assert knn.query_groups(centre, {0: 3, 1: 4, 2: 2, 3: 9}, most=5) == [(0, 0, 1), (2, 0, 1), (1, 1, 1), (3, 2, 2)]
+    assert knn.query_groups(centre, {}) == []
