@@ -76,7 +76,8 @@ def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Windows of ``items`` (item_id, text): item_id and term hashes, ``window`` consecutive words each.
 
     A shorter item is one window; one without words has none. Repeats of a
-    window within an item count once.
+    window within an item count once. Rows that share an id are one item with the windows
+    of all of them, of whatever lengths; so are rows without an id. Other columns are left out.
     """
 
     def cut(batches):
@@ -98,6 +99,9 @@ def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
 def _match(wanted: list[tuple[str | None, np.ndarray]], slop: int):
     """Per segment: the runs of document words that the phrases of each item cover."""
 
+    every = np.concatenate([np.zeros(0, np.int64), *(t for _, t in wanted)])
+    heads = np.cumsum([0, *(len(t) for _, t in wanted)])[:-1]
+
     def near(values, targets):
         at = np.searchsorted(values, targets - slop)
         return (at < len(values)) & (values[np.minimum(at, len(values) - 1)] <= targets + slop)
@@ -107,10 +111,13 @@ def _match(wanted: list[tuple[str | None, np.ndarray]], slop: int):
         docs = frame[frame["doc_row"] >= 0].sort_values("first")
         first = docs["first"].to_numpy(np.int64)
         item_of, low, high = [], [], []
-        for number, (_, terms) in enumerate(wanted):
-            got = [lists.get(t) for t in terms]
-            if any(x is None for x in got):
-                continue
+        # Phrases with a term that the segment lacks go first, all at once.
+        held = np.sort(np.fromiter(lists, np.int64, len(lists)))
+        at = np.minimum(np.searchsorted(held, every), max(0, len(held) - 1))
+        whole = np.logical_and.reduceat(held[at] == every, heads) if len(held) and len(every) else np.zeros(0, bool)
+        for number in np.flatnonzero(whole).tolist():
+            terms = wanted[number][1]
+            got = [lists[t] for t in terms]
             order = sorted(range(len(got)), key=lambda i: len(got[i]))
             starts = got[order[0]] - order[0]
             for i in order[1:]:
@@ -129,14 +136,16 @@ def _match(wanted: list[tuple[str | None, np.ndarray]], slop: int):
         doc = np.searchsorted(first, low, "right") - 1
         order = np.lexsort((low, item, doc))
         item, low, high, doc = item[order], low[order], high[order], doc[order]
-        # Windows have one length within an item, so ends rise with starts and runs merge side by side.
-        new = np.concatenate([[True], (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (low[1:] > high[:-1])])
-        heads = np.flatnonzero(new)
-        last = np.concatenate([heads[1:], [len(low)]]) - 1
-        base = first[doc[heads]]
+        # Windows of an item may differ in length (its id may repeat): a run reaches to the largest end so far.
+        other = np.concatenate([[False], (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])])
+        lift = np.cumsum(other) * (int(high.max()) + 1)
+        reach = np.maximum.accumulate(high + lift) - lift
+        opens = np.flatnonzero(np.concatenate([[True], other[1:] | (low[1:] > reach[:-1])]))
+        last = np.concatenate([opens[1:], [len(low)]]) - 1
+        base = first[doc[opens]]
         listed = np.array(list(names), object)
-        return pd.DataFrame({"doc_row": docs["doc_row"].to_numpy(np.int64)[doc[heads]], "item_id": listed[item[heads]],
-                             "low": low[heads] - base, "high": high[last] - base})
+        return pd.DataFrame({"doc_row": docs["doc_row"].to_numpy(np.int64)[doc[opens]], "item_id": listed[item[opens]],
+                             "low": low[opens] - base, "high": reach[last] - base})
 
     return match
 

@@ -192,3 +192,22 @@ def test_phrases_of_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert decontaminate.contamination(docs, items).collect() == []
     assert [tuple(r)[:4] for r in decontaminate.contamination(some, items).collect()] == [(1, 2, 0, 0)]
+
+
+def test_phrases_of_repeated_items_and_clashing_columns(spark):
+    ten = "one two three four five six seven eight nine ten"
+    items = [("a", ten), ("a", "three four five"), (None, ten + " eleven"), (None, "six seven"), ("b", "nine ten x"), ("a", ten)]
+    docs = [(1, f"x {ten} x"), (2, f"three four five {ten}"), (None, "six seven"), (4, f"{ten} eleven y nine ten x"), (4, "three four"), (5, " ".join([ten] * 9))]
+    schema = "doc_id long, text string, doc_row long, item_id string, low long, high long, term long, segment string, n_words long"
+    got = decontaminate.contamination(
+        spark.createDataFrame([(*d, 7, "q", 7, 7, 7, "s", 7) for d in docs], schema).repartition(3),
+        spark.createDataFrame([(*i, 7, 7) for i in items], "item_id string, text string, doc_id long, terms long"))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, brute.contamination(docs, items)))
+
+
+def test_phrases_in_a_text_beyond_one_segment(spark):
+    filler = "zz yy xx " * 900_000
+    docs = [(1, filler + "one two three " + filler), (2, "one two three")]
+    items = [("i", "one two three"), ("j", "xx one two")]
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"))
+    assert sorted(tuple(r)[:4] for r in got.collect()) == [(1, 5_400_003, 4, 2), (2, 3, 3, 1)]
