@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.llm.text import LETTERS, Words, mix, slices
+from cohortkit.session import materialise
 
 #: Most labelled rows that the fit reads, those with the smallest hash of the id.
 FIT_ROWS = 20_000
@@ -46,23 +47,63 @@ class Weights:
     bits: int
 
 
-def _ftrl(examples: list[np.ndarray], labels: np.ndarray, bits: int, epochs: int, alpha: float, beta: float, l1: float, l2: float, toxic_weight: float) -> Weights:
-    z, n = np.zeros(1 << bits), np.zeros(1 << bits)
-    bias, bias_n = 0.0, 0.0
-    for epoch in range(epochs):
-        for i in np.random.default_rng(epoch).permutation(len(examples)):
-            at = examples[i]
-            zi, ni = z[at], n[at]
-            w = np.where(np.abs(zi) > l1, (np.sign(zi) * l1 - zi) / ((beta + np.sqrt(ni)) / alpha + l2), 0.0)
-            g = 1 / (1 + np.exp(-np.clip(bias + w.sum(), -30, 30))) - labels[i]
-            g *= toxic_weight if labels[i] else 1
-            z[at] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / alpha * w
-            n[at] = ni + g * g
-            bias_n += g * g
-            bias -= alpha * g / (beta + np.sqrt(bias_n))
-    w = np.where(np.abs(z) > l1, (np.sign(z) * l1 - z) / ((beta + np.sqrt(n)) / alpha + l2), 0.0)
-    at = np.flatnonzero(w)
-    return Weights(at, w[at], bias, bits)
+class Ftrl:
+    """The sums that FTRL-proximal keeps for each coordinate, and nothing about the rows it has seen."""
+
+    def __init__(self, bits: int, alpha: float, beta: float, l1: float, l2: float, toxic_weight: float):
+        self.bits, self.alpha, self.beta, self.l1, self.l2, self.toxic_weight = bits, alpha, beta, l1, l2, toxic_weight
+        self.z, self.n = np.zeros(1 << bits), np.zeros(1 << bits)
+        self.bias, self.bias_n = 0.0, 0.0
+
+    def _weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.where(np.abs(z) > self.l1, (np.sign(z) * self.l1 - z) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2), 0.0)
+
+    def learn(self, at: np.ndarray, toxic: int) -> None:
+        """One step with the distinct coordinates of a row and its label."""
+        z, n = self.z[at], self.n[at]
+        w = self._weights(z, n)
+        g = 1 / (1 + np.exp(-np.clip(self.bias + w.sum(), -30, 30))) - toxic
+        g *= self.toxic_weight if toxic else 1
+        self.z[at] = z + g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * w
+        self.n[at] = n + g * g
+        self.bias_n += g * g
+        self.bias -= self.alpha * g / (self.beta + np.sqrt(self.bias_n))
+
+    def weights(self) -> Weights:
+        w = self._weights(self.z, self.n)
+        at = np.flatnonzero(w)
+        return Weights(at, w[at], self.bias, self.bits)
+
+
+def _examples(bits: int):
+    def examples(batches):
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                row, at = features(batch.column("text"), bits)
+                pairs = np.unique((row << bits) | at)
+                bounds = np.searchsorted(pairs >> bits, np.arange(batch.num_rows + 1)) * 4
+                packed = (pairs & ((1 << bits) - 1)).astype("<i4")
+                at = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(packed)])
+                yield pa.RecordBatch.from_arrays([batch.column("toxic"), at], names=["toxic", "at"])
+
+    return examples
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, bits: int = BITS, epochs: int = 2) -> DataFrame:
+    """epoch, toxic and ``at`` (the distinct coordinates as 32-bit integers) of each labelled row and epoch, in training order.
+
+    Features are computed where the texts lie and written once. Each epoch has its own order, by a
+    hash of the row's content; the order is an external sort, so no task holds more than a batch of rows.
+    """
+    clean = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(
+        F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other")
+    chosen = clean.select("doc_id", F.col("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    # At most ``rows`` pairs of numbers: a proven bound for the broadcast.
+    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    stored = materialise(sample.select("toxic", "text").mapInArrow(_examples(bits), "toxic int, at binary"), "toxicity-rows")
+    order = stored.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))).withColumn("turn", F.xxhash64("at", "toxic", "epoch"))
+    # The steps of FTRL depend on each other, so one task takes the (boundedly many) rows in turn.
+    return order.repartition(1).sortWithinPartitions("epoch", "turn", "toxic", "at").select("epoch", "toxic", "at")
 
 
 def fit(
@@ -74,31 +115,23 @@ def fit(
     Reads at most ``rows`` labelled documents, by the smallest hash of the id.
     Ids labelled both ways, null ids and other label values do not count. With no
     labelled document every score is sigmoid(-3). ``toxic_weight`` scales the steps of toxic rows.
+    Rows that share an id are examples of their own; equal rows are taken one after the other. Memory is
+    that of a batch of rows and two numbers a coordinate, however long the texts.
     """
-    clean = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(
-        F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other")
-    chosen = clean.select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    # At most ``rows`` pairs of numbers: a proven bound for the broadcast.
-    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-
-    def gather(batches):
-        examples, marks = [], []
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                row, at = features(batch.column("text"), bits)
-                pairs = np.unique((row << bits) | at)
-                bounds = np.searchsorted(pairs >> bits, np.arange(batch.num_rows + 1))
-                at = (pairs & ((1 << bits) - 1)).astype(np.int32)
-                examples += [at[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                marks += batch.column("toxic").to_pylist()
-        if examples:
-            order = sorted(range(len(marks)), key=lambda i: (len(examples[i]), examples[i].tobytes(), marks[i]))
-            w = _ftrl([examples[i] for i in order], np.array([marks[i] for i in order], float), bits, epochs, alpha, beta, l1, l2, toxic_weight)
+    def learn(batches):
+        model, seen = Ftrl(bits, alpha, beta, l1, l2, toxic_weight), 0
+        for batch in batches:
+            for toxic, at in zip(batch.column("toxic").to_pylist(), batch.column("at"), strict=True):
+                model.learn(np.frombuffer(at.as_buffer(), "<i4"), toxic)
+            seen += batch.num_rows
+        if seen:
+            w = model.weights()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([w.at.astype("<i8").tobytes()], pa.binary()), pa.array([w.value.astype("<f8").tobytes()], pa.binary()), pa.array([w.bias])],
                 names=["at", "value", "bias"])
 
-    got = sample.select("toxic", "text").repartition(1).mapInArrow(gather, "at binary, value binary, bias double").collect()
+    ordered = training_rows(docs, labels, rows, bits, epochs)
+    got = ordered.select("toxic", "at").mapInArrow(learn, "at binary, value binary, bias double").collect()
     if not got:
         return Weights(np.zeros(0, np.int64), np.zeros(0), -3.0, bits)
     return Weights(np.frombuffer(got[0]["at"], "<i8"), np.frombuffer(got[0]["value"], "<f8"), got[0]["bias"], bits)

@@ -177,3 +177,23 @@ def search(docs, items, k, b):
                 found.append((-score, doc is None, doc or 0))
         out += [(item, i + 1, None if none else doc, -s) for i, (s, none, doc) in enumerate(sorted(found)[:k])]
     return out
+
+
+def ftrl(rows, alpha, beta, l1, l2, toxic_weight):
+    """Weights by coordinate, and the intercept, of FTRL-proximal over (label, coordinates) rows, a coordinate at a time."""
+    z, n, bias, bias_n = defaultdict(float), defaultdict(float), 0.0, 0.0
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[i]) - z[i]) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for label, at in rows:
+        w = {i: weight(i) for i in at}
+        g = (1 / (1 + math.exp(-(bias + sum(w.values())))) - label) * (toxic_weight if label else 1)
+        for i in at:
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w[i]
+            n[i] += g * g
+        bias_n += g * g
+        bias -= alpha * g / (beta + math.sqrt(bias_n))
+    return {i: weight(i) for i in sorted(z) if weight(i)}, bias

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +42,21 @@ def test_toxicity_learns_and_keeps_other_columns(spark, prose):
     assert toxicity.score(docs, weights).columns == ["doc_id", "text", "lang", "toxicity"]
 
 
+def test_weights_are_those_of_plain_ftrl(spark, prose):
+    docs = spark.createDataFrame([(i, t, lang, 0.0) for i, t, lang, _ in prose[:120]], DOCS).repartition(5)
+    labels = spark.createDataFrame([(i, int(y)) for i, _, _, y in prose[:120]], "doc_id long, toxic int")
+    rows = [(r["epoch"], r["toxic"], np.frombuffer(r["at"], "<i4").tolist()) for r in toxicity.training_rows(docs, labels, bits=12).collect()]
+    wanted = sorted((int(y), len(set(toxicity.features(pa.array([t]), 12)[1].tolist()))) for _, t, _, y in prose[:120])
+    for epoch in (0, 1):
+        assert sorted((y, len(at)) for e, y, at in rows if e == epoch) == wanted
+    assert [r[0] for r in rows] == [0] * 120 + [1] * 120
+    assert [r[2] for r in rows[:120]] != [r[2] for r in rows[120:]]
+    weights = toxicity.fit(docs, labels, bits=12, l1=0.5)
+    plain, bias = brute.ftrl([r[1:] for r in rows], alpha=1.0, beta=1.0, l1=0.5, l2=1.0, toxic_weight=2.0)
+    assert len(plain) > 50 and dict(zip(weights.at.tolist(), weights.value.tolist(), strict=True)) == pytest.approx(plain)
+    assert weights.bias == pytest.approx(bias)
+
+
 def test_toxicity_of_odd_tables(spark):
     docs = spark.createDataFrame([(1, None, None, None), (None, "", "x", 1.0), (1, "a" * 300_000, "x", 1.0)], DOCS)
     labels = spark.createDataFrame([(1, 0), (1, 1), (None, 1), (2, None), (3, 7)], "doc_id long, toxic int")
