@@ -6,8 +6,10 @@ a subset's documents form a star of links and no pair is listed. Heavy sets, and
 the light ones that can link with them, go to inverted lists by the rarest
 shingles of which linked sets must share one. Candidates in a list are compared
 with one of its members at a time (hubs); lists whose members turn out connected
-need no more, and what is left between components is compared pair by pair.
-Equal sets count as one throughout.
+need no more, and what is left between components is compared pair by pair. A pair
+need only meet in the list of its first common shingle, so each listed shingle carries its
+place in the set's order, and a list makes a pair only if what both sets hold
+from there on can still be the overlap they need. Equal sets count as one throughout.
 
 The boundary minimises the rows that enumeration and lists would write, from
 the number of sets of each size. Rarity only orders the shingles: any order gives
@@ -33,8 +35,9 @@ from cohortkit.session import broadcast_if_small, materialise
 # Sizes up to which enumeration is considered, rows a set may enumerate, weight of a listed row (it has to be compared).
 _LARGEST_LIGHT, _MOST_SUBSETS, _LIST_WEIGHT = 48, 1500, 4
 # Count in a task from which a shingle is reported as frequent, and most of these that order the lists.
-_OFTEN, _ORDERED = 3, 1 << 20
-_HUB_ROUNDS = 5
+_OFTEN, _ORDERED = 3, 1 << 18
+# Rounds of hubs before lists are joined pair by pair.
+_HUB_ROUNDS = 2
 
 
 class Rule:
@@ -188,7 +191,7 @@ def _profile(k: int):
 
 
 def _keys(k: int, rule: Rule, below: int, frequent):
-    """Rows (kind, token, doc_id, n, one) of the sets of a task, equal sets once per batch.
+    """Rows (kind, token, doc_id, n, one, place) of the sets of a task, equal sets once per batch.
 
     Kind 0 is an inverted list, 1 a subset for partners of the same size, 2 one for partners of two sizes.
     """
@@ -217,8 +220,9 @@ def _keys(k: int, rule: Rule, below: int, frequent):
                 some = np.flatnonzero(listed[row_of])
                 some = some[np.lexsort((sets[some], np.round(expected[some], 2), rank[some], row_of[some]))]
                 place = np.arange(len(some)) - np.searchsorted(row_of[some], row_of[some])
-                some = some[place < rule.prefix(n)[row_of[some]]]
-                token, row, kind = [sets[some]], [row_of[some]], [np.zeros(len(some), np.int32)]
+                first_ones = place < rule.prefix(n)[row_of[some]]
+                some = some[first_ones]
+                token, row, kind, at = [sets[some]], [row_of[some]], [np.zeros(len(some), np.int32)], [place[first_ones]]
                 values = mix(sets)
                 for r in keep[n[keep] < below]:
                     mine = values[first[r] : first[r + 1]]
@@ -234,10 +238,12 @@ def _keys(k: int, rule: Rule, below: int, frequent):
                         token.append(mix(mix(subset) + mix(pair)))
                         row.append(np.full(len(subset), r))
                         kind.append(np.full(len(subset), 1 if other == size else 2, np.int32))
-                token, row, kind = np.concatenate(token), np.concatenate(row), np.concatenate(kind)
+                        at.append(np.zeros(len(subset), np.int64))
+                token, row, kind, at = (np.concatenate(x) for x in (token, row, kind, at))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(kind), pa.array(token.view(np.int64)), pa.array(ids[row].astype(np.int64)), pa.array(n[row].astype(np.int32)), pa.array(one[row].view(np.int64))],
-                    names=["kind", "token", "doc_id", "n", "one"])
+                    [pa.array(kind), pa.array(token.view(np.int64)), pa.array(ids[row].astype(np.int64)), pa.array(n[row].astype(np.int32)),
+                     pa.array(one[row].view(np.int64)), pa.array(at.astype(np.int32))],
+                    names=["kind", "token", "doc_id", "n", "one", "place"])
 
     return keys
 
@@ -261,7 +267,7 @@ def _compare(k: int, rule: Rule):
 
 
 def _members(lists: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Lists whose members lie in several components: token, part, doc_id, n, component."""
+    """Lists whose members lie in several components: token, part, doc_id, n, place, component."""
     if groups is None:
         found = lists.withColumn("component", F.col("doc_id"))
     else:
@@ -303,22 +309,20 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     frequent = spark.sparkContext.broadcast((*tables[:3], tables[3] - np.float32(every), np.float32(-every)))
 
     keys = chosen.where("doc_id is not null").mapInArrow(
-        _keys(k, rule, below, frequent), "kind int, token long, doc_id long, n int, one long")
+        _keys(k, rule, below, frequent), "kind int, token long, doc_id long, n int, one long, place int")
     same = Window.partitionBy("kind", "token")
     # Two sets of a subset link if their sizes are the two that it stands for; sets of both sizes link all of them.
     shared = keys.withColumns({"x": F.min("one").over(same), "y": F.max("one").over(same), "s": F.min("n").over(same), "t": F.max("n").over(same)}).where(
         "x <> y and (kind < 2 or s < t)")
-    lists = materialise(shared.groupBy("kind", "token", "one", "n").agg(F.min("doc_id").alias("doc_id")), "set-lists")
+    lists = materialise(shared.groupBy("kind", "token", "one", "n").agg(F.min("doc_id").alias("doc_id"), F.min("place").alias("place")), "set-lists")
     stars = lists.where("kind > 0").groupBy("kind", "token").agg(F.min("doc_id").alias("a"))
     links = materialise(lists.where("kind > 0").join(stars, ["kind", "token"]).select("a", F.col("doc_id").alias("b")).where("a <> b").distinct(), "links")
     # A list is cut by size, each set into its own part and the next one, so that partners meet and others do not.
     step = math.log(den / num)
     part = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9)
-    heavy = lists.where("kind = 0").select("token", F.explode(F.array(part, part + 1)).alias("part"), "doc_id", "n")
-    heavy = materialise(_members(heavy, None).select("token", "part", "doc_id", "n"), "set-lists")
-    if heavy.isEmpty():
-        groups = connected_components(links)
-        return _result(rows, classes, groups)
+    heavy = lists.where("kind = 0").select("token", F.explode(F.array(part, part + 1)).alias("part"), "doc_id", "n", "place")
+    members = materialise(_members(heavy, None), "set-members")
+    heavy = members.drop("component")
 
     def compared(pairs: DataFrame) -> DataFrame:
         # Sketches rule most pairs out; only the texts of the rest are fetched.
@@ -332,9 +336,14 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
         both = rest.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
         return materialise(both.mapInArrow(_compare(k, rule), "a long, b long"), "links")
 
-    groups = materialise(connected_components(links), "set-groups")
+    other = [F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("component").alias("other")]
+    fit = F.least("n", "m") * den >= F.greatest("n", "m") * num
+    # With these shingles as the first common ones, the rest of both sets must hold the overlap.
+    reach = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) * (num + den) >= (F.col("n") + F.col("m")) * num
+    groups = None
     for turn in range(_HUB_ROUNDS + 1):
-        members = materialise(_members(heavy, groups).select("token", "part", "doc_id", "n", "component"), "set-members")
+        if turn:
+            members = materialise(_members(heavy, groups), "set-members")
         within = members.groupBy("token", "part", "component").agg(F.count("*").alias("c")).groupBy("token", "part").agg(
             F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("inside"))
         total = within.agg(F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2).alias("pairs"), F.sum("all").alias("rows")).first()
@@ -342,17 +351,20 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
             break
         last = turn == _HUB_ROUNDS or total["pairs"] <= 2 * total["rows"]
         if last:
-            other = members.select("token", "part", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-            pairs = members.join(other, ["token", "part"]).where("component < other").withColumnRenamed("doc_id", "a")
+            pairs = members.join(members.select("token", "part", *other), ["token", "part"]).where((F.col("component") < F.col("other")) & fit & reach)
         else:
-            hubs = members.groupBy("token", "part").agg(F.min_by(F.struct("doc_id", "n", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("hub"))
-            pairs = members.join(hubs, ["token", "part"]).where("component <> hub.component").select(
-                F.col("doc_id").alias("a"), "n", F.col("hub.doc_id").alias("b"), F.col("hub.n").alias("m"))
-        fit = F.least("n", "m") * den >= F.greatest("n", "m") * num
-        links = links.unionByName(compared(pairs.where(fit).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
+            hubs = members.groupBy("token", "part").agg(
+                F.min_by(F.struct("doc_id", "n", "place", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("hub"))
+            hubs = hubs.select("token", "part", F.col("hub.doc_id").alias("b"), F.col("hub.n").alias("m"), F.col("hub.place").alias("at"), F.col("hub.component").alias("other"))
+            pairs = members.join(hubs, ["token", "part"]).where((F.col("component") != F.col("other")) & fit & reach)
+        found = compared(pairs.select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")))
+        links = links.unionByName(found) if groups is None else found.unionByName(
+            groups.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")))
         groups = materialise(connected_components(links), "set-groups")
         if last:
             break
+    if groups is None:
+        groups = connected_components(links)
     return _result(rows, classes, groups)
 
 
