@@ -36,8 +36,8 @@ from cohortkit.session import broadcast_if_small, materialise
 _LARGEST_LIGHT, _MOST_SUBSETS, _LIST_WEIGHT = 48, 1500, 4
 # Count in a task from which a shingle is reported as frequent, and most of these that order the lists.
 _OFTEN, _ORDERED = 3, 1 << 18
-# Rounds of hubs before lists are joined pair by pair.
-_HUB_ROUNDS = 2
+# Rounds of hubs before lists are joined pair by pair, at every size.
+_HUB_ROUNDS = 1
 
 
 class Rule:
@@ -338,25 +338,24 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
 
     other = [F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("component").alias("other")]
     fit = F.least("n", "m") * den >= F.greatest("n", "m") * num
+    # Sets of one part also meet in the next one: the larger own part is the place of the pair.
+    here = F.col("part") == F.floor(F.log(F.greatest("n", "m").cast("double")) / step + 1e-9)
     # With these shingles as the first common ones, the rest of both sets must hold the overlap.
     reach = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) * (num + den) >= (F.col("n") + F.col("m")) * num
     groups = None
     for turn in range(_HUB_ROUNDS + 1):
         if turn:
             members = materialise(_members(heavy, groups), "set-members")
-        within = members.groupBy("token", "part", "component").agg(F.count("*").alias("c")).groupBy("token", "part").agg(
-            F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("inside"))
-        total = within.agg(F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2).alias("pairs"), F.sum("all").alias("rows")).first()
-        if not total["rows"]:
+        if members.isEmpty():
             break
-        last = turn == _HUB_ROUNDS or total["pairs"] <= 2 * total["rows"]
+        last = turn == _HUB_ROUNDS
         if last:
-            pairs = members.join(members.select("token", "part", *other), ["token", "part"]).where((F.col("component") < F.col("other")) & fit & reach)
+            pairs = members.join(members.select("token", "part", *other), ["token", "part"]).where((F.col("component") < F.col("other")) & here & fit & reach)
         else:
             hubs = members.groupBy("token", "part").agg(
                 F.min_by(F.struct("doc_id", "n", "place", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("hub"))
             hubs = hubs.select("token", "part", F.col("hub.doc_id").alias("b"), F.col("hub.n").alias("m"), F.col("hub.place").alias("at"), F.col("hub.component").alias("other"))
-            pairs = members.join(hubs, ["token", "part"]).where((F.col("component") != F.col("other")) & fit & reach)
+            pairs = members.join(hubs, ["token", "part"]).where((F.col("component") != F.col("other")) & here & fit & reach)
         found = compared(pairs.select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")))
         links = links.unionByName(found) if groups is None else found.unionByName(
             groups.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")))
@@ -377,7 +376,16 @@ def _result(rows: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; documents that link with nothing stay."""
-    found = components(docs, k, num, den)
+    """``docs`` with one document of each component, the one with the smallest id; documents that link with nothing stay.
+
+    Rows that share an id and a text are copies, of which one stays; rows that share an id only are
+    parts of one document and stay or go together. A row without an id takes no part and stays.
+    """
+    found = materialise(components(docs, k, num, den), "near-copies")
     dropped = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    repeated = materialise(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    if repeated.isEmpty():
+        return kept
+    again = broadcast_if_small(repeated)
+    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*kept.columns))

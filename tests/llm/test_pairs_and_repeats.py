@@ -62,6 +62,9 @@ def test_components_of_odd_tables(spark):
     kept = setjoin.keep_one(df)
     assert kept.columns == df.columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 2, 9]
+    again = setjoin.keep_one(spark.createDataFrame([*rows[:1], *rows[3:], rows[3], (2, "z", 1, 2, "x", "y")], ODD))
+    assert again.columns == df.columns
+    assert sorted((r["doc_id"] or -1, r["text"] or "") for r in again.collect()) == [(-1, "a b c"), (2, "A B  C"), (2, "z"), (9, "")]
 
 
 def test_connected_components(spark):
