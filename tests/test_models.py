@@ -88,6 +88,24 @@ def test_model_metadata_and_predictions_round_trip(spark, trained):
         writers.save_predictions(result.predictions.drop("y_pred"), f"{path}/bad")
 
 
+def test_settings_of_one_depth_share_their_trees():
+    settings = [{"numTrees": t, "maxDepth": d} for t in (200, 100) for d in (30, 10)]
+    parts, consists = training.search_parts(settings)
+    assert sorted((p["numTrees"], p["maxDepth"], p["block"]) for p in parts) == [(100, d, b) for d in (10, 30) for b in (0, 1)]
+    for i, setting in enumerate(settings):
+        assert sum(parts[k]["numTrees"] for k in consists[i]) == setting["numTrees"]
+        assert {parts[k]["maxDepth"] for k in consists[i]} == {setting["maxDepth"]}
+    assert training.search_parts([{"C": 1.0}, {"C": 2.0}]) == ([{"C": 1.0}, {"C": 2.0}], {0: [0], 1: [1]})
+
+
+def test_a_search_over_shared_trees_finds_the_signal(spark, trained):
+    df, _ = trained
+    grid = training.Grid(trees=(4, 10), depths=(2, 4))
+    result = training.train_best(df, ["bmi", "age"], grid=grid, candidates=("random_forest",), part_rows=150)
+    assert result.comparisons[0]["cv_roc_auc"] > 0.85 and result.comparisons[0]["roc_auc"] > 0.85
+    assert result.metadata["best_params"]["numTrees"] in (4, 10)
+
+
 def test_metadata_checks():
     good = {k: 1 for k in training.METADATA_KEYS} | {"feature_names": ["a"], "metrics": {"roc_auc": 1}}
     training.validate_metadata(good)
