@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from workload import analyses, flows, models, preparation, scans, statistics  # noqa: E402,F401
+from workload import analyses, flows, genetics, models, preparation, scans, statistics, uploads  # noqa: E402,F401
 from workload.registry import QUERIES  # noqa: E402
 
 HEADLINE = [
@@ -20,7 +20,8 @@ HEADLINE = [
     "genotype_frequencies", "correlation_matrix", "feature_selection", "chi_square_tests",
     "snp_association_scan", "welch_tests", "false_discovery_adjustment", "feature_screen",
     "stratified_split", "classification_metrics", "roc_curve", "stored_cohort", "scored_arrivals",
-    "logistic_training",
+    "logistic_training", "forest_training", "model_comparison", "cohort_workflow", "long_clean_genotypes", "joint_feature_screen",
+    "ingest_uploads",
 ]
 
 

@@ -17,7 +17,7 @@ def ingest_uploads(manifest: DataFrame, folder: str, store: CohortStore) -> Data
     A single patient's upload needs a registry date. Returns the manifest with ``errors``.
     """
     spark = manifest.sparkSession
-    checked = validate_manifest(manifest, file_sizes(spark, folder), file_contents(spark, folder))
+    checked = validate_manifest(manifest, file_sizes(spark, folder), file_contents(spark, folder, manifest.select("path")))
     undated = F.when(F.col("patient_id").isNotNull() & F.col("registry_date").isNull(), "registry_date is missing")
     checked = checked.withColumn("errors", F.concat("errors", F.array_compact(F.array(undated))))
     checked = materialise(checked, "uploads")

@@ -6,13 +6,14 @@ A manifest has one row per upload: ``path``, ``data_type``, ``patient_id``,
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit import domain
 from cohortkit.operators.quality import date_error
+from cohortkit.session import broadcast_if_small
 
 
 def extension(path: Column | str) -> Column:
@@ -47,10 +48,46 @@ def file_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return listing.select(plain_path(F.col("path")).alias("path"), "length")
 
 
-def file_contents(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Header and number of data rows per CSV file below a folder: ``path``, ``header``, ``n_rows``."""
-    lines = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(folder)
+# Commas outside quotes, and the quotes around a name.
+_BETWEEN_NAMES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def header_names(line: Column) -> Column:
+    """The column names of a CSV header line: quotes, doubled quotes, blanks around names and a byte order mark are undone."""
+    plain = F.regexp_replace(line, "^\ufeff|\r$", "")
+    bare = lambda name: F.regexp_replace(F.regexp_replace(F.trim(name), '^"(.*)"$', "$1"), '""', '"')
+    return F.transform(F.split(plain, _BETWEEN_NAMES, -1), bare)
+
+
+def file_contents(spark: SparkSession, folder: str, paths: DataFrame | None = None) -> DataFrame:
+    """Column names and number of data rows per CSV and JSON file below a folder: ``path``, ``header``, ``n_rows``.
+
+    Extensions count in any case. A JSON file holds an array of records, or one, and is read by one task; one that
+    holds none has no names and no rows. A line feed inside a quoted CSV field counts as a row.
+    With ``paths`` (path) only those files are looked at.
+    """
+    listed = None if paths is None else broadcast_if_small(paths.select("path").distinct())
+
+    def wanted(found: DataFrame) -> DataFrame:
+        return found if listed is None else found.join(listed, "path", "left_semi")
+
+    return _csv_contents(spark, folder, wanted).unionByName(_json_contents(spark, folder, wanted))
+
+
+def _json_contents(spark: SparkSession, folder: str, wanted: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    whole = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[jJ][sS][oO][nN]").text(folder, wholetext=True)
+        .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.coalesce(
+            F.from_json("value", "array<map<string,string>>"), F.array(F.from_json("value", "map<string,string>"))).alias("_records"))
+    )
+    records = F.filter("_records", lambda r: r.isNotNull())
+    return wanted(whole).select(
+        "path", F.array_distinct(F.flatten(F.transform(records, F.map_keys))).alias("header"), F.size(records).cast("bigint").alias("n_rows"))
+
+
+def _csv_contents(spark: SparkSession, folder: str, wanted: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    lines = wanted(
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").text(folder)
         .select(
             plain_path(F.col("_metadata.file_path")).alias("path"),
             F.col("_metadata.file_block_start").alias("_start"),
@@ -61,7 +98,7 @@ def file_contents(spark: SparkSession, folder: str, pattern: str = "*.csv") -> D
     # Line ids rise within a file block; the header is the first line of the first block.
     first = F.min_by("value", F.struct("_start", "_line"))
     return lines.groupBy("path").agg(
-        F.split(first, ",").alias("header"),
+        header_names(first).alias("header"),
         (F.count(F.when(F.trim("value") != "", 1)) - 1).alias("n_rows"),
     )
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 from cohortkit import domain
+from cohortkit.functions.columns import quoted
 from cohortkit.operators import columns as cols
 from cohortkit.operators.quality import require_rows
 from cohortkit.operators.selection import Selection
@@ -16,16 +20,37 @@ from cohortkit.operators.selection import Selection
 def read_csv(spark: SparkSession, path: str, types: Mapping[str, str] | None = None) -> DataFrame:
     """CSV with a header. Given ``types`` apply by column name, in any order; other columns are text.
 
-    All files below ``path`` must have the same header; one with other columns or
-    another order fails instead of being read by position. Without ``types`` the
-    types are inferred, which reads the data twice.
+    Files below ``path`` may differ in the order of their columns and in which they have: files of one
+    header are read together, and the groups are put together by name, with nulls for what a file
+    lacks. Only the first line of each file is read for that. Without ``types`` the types are
+    inferred, which reads the data twice, and types that differ between groups become text.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
+    files = [r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPool(8) as pool:
+        first_lines = inheritable_thread_target(spark)(lambda file: tuple(reader.csv(file).columns))
+        for file, header in zip(files, pool.map(first_lines, files), strict=True):
+            groups.setdefault(header, []).append(file)
+    if len(groups) <= 1:
+        return _read_group(reader, path, next(iter(groups), None), types)
+    parts = [_read_group(reader, group, header, types) for header, group in groups.items() if header]
+    kinds: dict[str, set[str]] = {}
+    for part in parts:
+        for name, kind in part.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    parts = [
+        part.select(*[quoted(c).cast("string").alias(c) if len(kinds[c]) > 1 else quoted(c) for c in part.columns]) for part in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _read_group(reader: DataFrameReader, files: str | list[str], header: Sequence[str] | None, types: Mapping[str, str] | None) -> DataFrame:
+    """Files of one header; a file that is changed meanwhile fails instead of being read by position."""
     if types is None:
-        return reader.option("inferSchema", True).csv(path)
-    header = reader.csv(path).columns
-    schema = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in header)
-    return reader.schema(schema).csv(path)
+        return reader.option("inferSchema", True).csv(files)
+    names = reader.csv(files).columns if header is None else header
+    schema = T.StructType([T.StructField(c, T.DataType.fromDDL(types.get(c, "string"))) for c in names])
+    return reader.schema(schema).csv(files)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

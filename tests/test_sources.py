@@ -1,10 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cohortkit import domain
-from cohortkit.operators import quality
+from cohortkit.operators import genotypes, quality
 from cohortkit.plans import analysis
 from cohortkit.plans.ingest import ingest_uploads
 from cohortkit.session import broadcast_if_small, release_scratch, scratch_path
@@ -159,13 +160,57 @@ def test_only_tables_of_few_bytes_are_broadcast(spark):
     assert "strategy=broadcast" not in plan(broadcast_if_small(spark.range(3), 10))
 
 
-def test_csv_files_with_another_column_order_fail(spark, tmp_path):
+def test_csv_files_are_read_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("age,bmi\n60,21.5\n")
-    (tmp_path / "b.csv").write_text("bmi,age\n21.5,60\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        readers.read_csv(spark, str(tmp_path), {"age": "double", "bmi": "double"}).collect()
-    (tmp_path / "b.csv").write_text("age,bmi\n61,22.5\n")
-    assert readers.read_csv(spark, str(tmp_path), {"age": "double", "bmi": "double"}).count() == 2
+    (tmp_path / "b.csv").write_text("bmi,age\n22.5,61\n")
+    (tmp_path / "c.csv").write_text('"race:other",age,"a, b"\n1,62,x\n')
+    (tmp_path / "d.csv").write_text("age,bmi\n63,23.5\n")
+    df = readers.read_csv(spark, str(tmp_path), {"age": "double", "bmi": "double", "race:other": "int"})
+    assert sorted(df.columns) == ["a, b", "age", "bmi", "race:other"]
+    got = sorted(tuple(r) for r in df.select("age", "bmi", "`race:other`", "`a, b`").collect())
+    assert got == [(60.0, 21.5, None, None), (61.0, 22.5, None, None), (62.0, None, 1, "x"), (63.0, 23.5, None, None)]
+    inferred = readers.read_csv(spark, str(tmp_path))
+    assert dict(inferred.dtypes)["age"] == "int" and inferred.count() == 4
+
+
+def test_header_names(spark):
+    lines = ["a,b", '﻿"a,b", c ,"d ""x"""\r', "", '"a"']
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, x string")
+    got = [r["h"] for r in df.orderBy("i").select(manifest.header_names(F.col("x")).alias("h")).collect()]
+    assert got == [["a", "b"], ["a,b", "c", 'd "x"'], [""], ["a"]]
+
+
+def test_contents_of_json_and_upper_case_files(spark, tmp_path):
+    (tmp_path / "a.JSON").write_text('[{"a": 1, "b": null},\n {"c": {"d": 2}}]')
+    (tmp_path / "b.json").write_text('{"a": 1}')
+    (tmp_path / "c.json").write_text("nothing")
+    (tmp_path / "d.CSV").write_text('"a","b, c"\n1,2\n\n3,4\n')
+    found = {r["path"].rsplit("/", 1)[1]: (r["header"], r["n_rows"]) for r in manifest.file_contents(spark, str(tmp_path)).collect()}
+    assert found == {"a.JSON": (["a", "b", "c"], 2), "b.json": (["a"], 1), "c.json": ([], 0), "d.CSV": (["a", "b, c"], 2)}
+    only = spark.createDataFrame([(f"{tmp_path}/d.CSV",)], "path string")
+    assert [r["n_rows"] for r in manifest.file_contents(spark, str(tmp_path), only).collect()] == [2]
+
+
+def test_long_genotypes(spark):
+    rows = [(p, f"rs{s}", None if (p + s) % 19 == 0 else float((p * s + p // 3) % 3)) for p in range(60) for s in range(40)]
+    rows += [(p, "rare", 0.0) for p in range(60)] + [(p, "missing", None if p % 5 == 0 else 1.0) for p in range(60)]
+    rows += [(1, None, 2.0), (None, "rs1", None)]
+    long = spark.createDataFrame(rows, "patient_id long, snp string, dosage double").repartition(4)
+    report = {r["snp"]: r for r in genotypes.long_snp_quality(long).collect()}
+    assert not report["rare"]["kept"] and not report["missing"]["kept"] and report["missing"]["missing_rate"] == pytest.approx(0.2)
+    both = [genotypes.clean_long_genotypes(long, max_bytes=b) for b in (4 << 20, 0)]
+    assert ["_salt" in d._jdf.queryExecution().analyzed().toString() for d in both] == [False, True]
+    first, second = (sorted(map(repr, d.collect())) for d in both)
+    assert first == second
+    means = {s: r["mean_dosage"] for s, r in report.items() if r["kept"]}
+    assert first == sorted(repr(Row(patient_id=p, snp=s, dosage=means[s] if d is None else d)) for p, s, d in rows if s in means)
+    wide = genotypes.wide_genotypes(both[0].where("patient_id IS NOT NULL"), ["rs1", "rs2"])
+    assert wide.count() == 60 and wide.columns == ["patient_id", "rs1", "rs2"]
+    with pytest.raises(ValueError, match="invalid dosages"):
+        genotypes.clean_long_genotypes(long.unionByName(spark.createDataFrame([(1, "rs3", 5.0)], long.schema)))
+    assert genotypes.clean_long_genotypes(long.limit(0)).collect() == []
+    with pytest.raises(ValueError, match="missing"):
+        genotypes.clean_long_genotypes(long.drop("snp"))
 
 
 def test_scratch_is_named_by_the_session_and_can_be_released(spark):
