@@ -1,7 +1,12 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes what the one before it kept and is written as Parquet before the next one
-reads it. All but the last return the columns of ``documents``.
+reads it. All but the last return the columns of ``documents``; further columns are left out.
+
+A null text counts as empty and stays null. Rows that share an id are one document for the
+stages that drop whole documents: a hit in one of them drops all, and of rows that also share the
+text one stays. A row without an id is scored and cut like any other, but the stages that drop
+by id (near copies, benchmark phrases) leave it in. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -56,7 +61,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# No stage but the fourth can be said in SQL; tests/llm compares the stages with brute force.
+# No stage but the fourth can be said in SQL; tests/llm compares the operators of the stages with brute force.
 ORACLE_SQL = None
 
 
