@@ -3,17 +3,20 @@
 Light sets (smaller than a boundary chosen by cost) list all their subsets of the
 overlap that a partner needs; two of them share a subset exactly when they link, so
 a subset's documents form a star of links and no pair is listed. Heavy sets, and
-the light ones that can link with them, go to inverted lists by the rarest
-shingles of which linked sets must share one. Candidates in a list are compared
+the light ones that can link with them, go to inverted lists by their rarest
+shingles, half as many more as linked sets need to share one of them, so that they
+share several. Counting the lists gives each listed shingle its exact number of sets.
+A set that has too few shingles in common with any other leaves all lists; the rest keep the
+shingles that fewest sets list, again just as many as linked sets need to share one. Candidates in a list are compared
 with one of its members at a time (hubs); lists whose members turn out connected
 need no more, and what is left between components is compared pair by pair. A pair
 need only meet in the list of its first common shingle, so each listed shingle carries its
-place in the set's order, and a list makes a pair only if what both sets hold
+place in the set's order, and a list makes a pair only if what both sets list
 from there on can still be the overlap they need. Equal sets count as one throughout.
 
 The boundary minimises the rows that enumeration and lists would write, from
 the number of sets of each size. Rarity only orders the shingles: any order gives
-the same links, so it is an estimate from what tasks find frequent: shingles that
+the same links, so the first choice is an estimate from what tasks find frequent: shingles that
 repeat in a task come last, the others by the frequency that their words let expect.
 """
 
@@ -25,7 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.llm.components import connected_components
@@ -56,8 +59,32 @@ class Rule:
         return -(-self.num * (s + t) // (self.num + self.den))
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
+        """Shingles of which sets that link share at least one, whatever the order."""
         return n - -(-self.num * n // self.den) + 1
 
+    def extra(self, n: np.ndarray) -> np.ndarray:
+        """Shingles listed beyond the prefix: linked sets share one, and as many more as the smaller set lists extra."""
+        return np.minimum(self.prefix(n) // 2, -(-self.num * n // self.den) - 1)
+
+    def listed(self, n: np.ndarray) -> np.ndarray:
+        return np.minimum(n, self.prefix(n) + self.extra(n))
+
+    def listed_column(self, n: Column) -> Column:
+        return F.least(n, self._prefix_column(n) + self._extra_column(n))
+
+    def kept_column(self, n: Column) -> Column:
+        """How many of its listed shingles a set keeps: among them, in any order, is one of each partner's."""
+        return self.listed_column(n) - self._extra_column(self._smallest_column(n))
+
+    def _smallest_column(self, n: Column) -> Column:
+        return F.ceil(n.cast("long") * self.num / self.den)
+
+    def _prefix_column(self, n: Column) -> Column:
+        return n - self._smallest_column(n) + 1
+
+    def _extra_column(self, n: Column) -> Column:
+        return F.least(F.floor(self._prefix_column(n) / 2), self._smallest_column(n) - 1)
+
     def partners(self, s: int, below: int) -> list[tuple[int, int]]:
         """(size, overlap needed) of each light partner of a set of size ``s``."""
         sizes = range(self.smallest(s), min(self.largest(s), below - 1) + 1)
@@ -73,7 +100,7 @@ class Rule:
             if below > 1 and self.subsets(below - 1, below) > _MOST_SUBSETS:
                 break
             light = sum(n * self.subsets(s, below) for s, n in sizes.items() if 0 < s < below)
-            heavy = sum(n * _LIST_WEIGHT * int(self.prefix(np.array(s))) for s, n in sizes.items() if s >= self.smallest(below))
+            heavy = sum(n * _LIST_WEIGHT * int(self.listed(np.array(s))) for s, n in sizes.items() if s >= self.smallest(below))
             if best is None or light + heavy < best:
                 best, at = light + heavy, below
         return at
@@ -191,7 +218,7 @@ def _profile(k: int):
 
 
 def _keys(k: int, rule: Rule, below: int, frequent):
-    """Rows (kind, token, doc_id, n, one, place) of the sets of a task, equal sets once per batch.
+    """Rows (kind, token, doc_id, n, one) of the sets of a task, equal sets once per batch.
 
     Kind 0 is an inverted list, 1 a subset for partners of the same size, 2 one for partners of two sizes.
     """
@@ -220,9 +247,8 @@ def _keys(k: int, rule: Rule, below: int, frequent):
                 some = np.flatnonzero(listed[row_of])
                 some = some[np.lexsort((sets[some], np.round(expected[some], 2), rank[some], row_of[some]))]
                 place = np.arange(len(some)) - np.searchsorted(row_of[some], row_of[some])
-                first_ones = place < rule.prefix(n)[row_of[some]]
-                some = some[first_ones]
-                token, row, kind, at = [sets[some]], [row_of[some]], [np.zeros(len(some), np.int32)], [place[first_ones]]
+                some = some[place < rule.listed(n)[row_of[some]]]
+                token, row, kind = [sets[some]], [row_of[some]], [np.zeros(len(some), np.int32)]
                 values = mix(sets)
                 for r in keep[n[keep] < below]:
                     mine = values[first[r] : first[r + 1]]
@@ -238,12 +264,11 @@ def _keys(k: int, rule: Rule, below: int, frequent):
                         token.append(mix(mix(subset) + mix(pair)))
                         row.append(np.full(len(subset), r))
                         kind.append(np.full(len(subset), 1 if other == size else 2, np.int32))
-                        at.append(np.zeros(len(subset), np.int64))
-                token, row, kind, at = (np.concatenate(x) for x in (token, row, kind, at))
+                token, row, kind = (np.concatenate(x) for x in (token, row, kind))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(kind), pa.array(token.view(np.int64)), pa.array(ids[row].astype(np.int64)), pa.array(n[row].astype(np.int32)),
-                     pa.array(one[row].view(np.int64)), pa.array(at.astype(np.int32))],
-                    names=["kind", "token", "doc_id", "n", "one", "place"])
+                     pa.array(one[row].view(np.int64))],
+                    names=["kind", "token", "doc_id", "n", "one"])
 
     return keys
 
@@ -309,18 +334,23 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     frequent = spark.sparkContext.broadcast((*tables[:3], tables[3] - np.float32(every), np.float32(-every)))
 
     keys = chosen.where("doc_id is not null").mapInArrow(
-        _keys(k, rule, below, frequent), "kind int, token long, doc_id long, n int, one long, place int")
+        _keys(k, rule, below, frequent), "kind int, token long, doc_id long, n int, one long")
     same = Window.partitionBy("kind", "token")
     # Two sets of a subset link if their sizes are the two that it stands for; sets of both sizes link all of them.
     shared = keys.withColumns({"x": F.min("one").over(same), "y": F.max("one").over(same), "s": F.min("n").over(same), "t": F.max("n").over(same)}).where(
         "x <> y and (kind < 2 or s < t)")
-    lists = materialise(shared.groupBy("kind", "token", "one", "n").agg(F.min("doc_id").alias("doc_id"), F.min("place").alias("place")), "set-lists")
+    lists = materialise(shared.groupBy("kind", "token", "one", "n").agg(F.min("doc_id").alias("doc_id")).withColumn(
+        "sets", F.count("*").over(same)), "set-lists")
     stars = lists.where("kind > 0").groupBy("kind", "token").agg(F.min("doc_id").alias("a"))
     links = materialise(lists.where("kind > 0").join(stars, ["kind", "token"]).select("a", F.col("doc_id").alias("b")).where("a <> b").distinct(), "links")
     # A list is cut by size, each set into its own part and the next one, so that partners meet and others do not.
     step = math.log(den / num)
     part = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9)
-    heavy = lists.where("kind = 0").select("token", F.explode(F.array(part, part + 1)).alias("part"), "doc_id", "n", "place")
+    # A set's listed shingles by the number of sets that list them; those of no other set come first and need no list.
+    own = Window.partitionBy("one", "n")
+    place = rule.listed_column(F.col("n")) - F.count("*").over(own) + F.row_number().over(own.orderBy("sets", "token")) - 1
+    rarest = lists.where("kind = 0").withColumn("place", place).where(F.col("place") < rule.kept_column(F.col("n")))
+    heavy = rarest.select("token", F.explode(F.array(part, part + 1)).alias("part"), "doc_id", "n", "place")
     members = materialise(_members(heavy, None), "set-members")
     heavy = members.drop("component")
 
@@ -340,8 +370,10 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     fit = F.least("n", "m") * den >= F.greatest("n", "m") * num
     # Sets of one part also meet in the next one: the larger own part is the place of the pair.
     here = F.col("part") == F.floor(F.log(F.greatest("n", "m").cast("double")) / step + 1e-9)
-    # With these shingles as the first common ones, the rest of both sets must hold the overlap.
-    reach = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) * (num + den) >= (F.col("n") + F.col("m")) * num
+    # With these shingles as the first common ones, what both list from there on must hold the overlap but for what neither lists.
+    n_listed, m_listed = rule.listed_column(F.col("n")), rule.listed_column(F.col("m"))
+    left_over = F.least(n_listed - F.col("place"), m_listed - F.col("at")) + F.greatest(F.col("n") - n_listed, F.col("m") - m_listed)
+    reach = left_over * (num + den) >= (F.col("n") + F.col("m")) * num
     groups = None
     for turn in range(_HUB_ROUNDS + 1):
         if turn:

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cohortkit.llm import decontaminate, setjoin, suffix
 from cohortkit.llm.components import connected_components
@@ -214,3 +215,24 @@ def test_phrases_in_a_text_beyond_one_segment(spark):
     items = [("i", "one two three"), ("j", "xx one two")]
     got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"))
     assert sorted(tuple(r)[:4] for r in got.collect()) == [(1, 5_400_003, 4, 2), (2, 3, 3, 1)]
+
+
+@pytest.mark.parametrize(("num", "den"), [(90, 100), (80, 100), (60, 100)])
+def test_listed_shingles_hold_what_linked_sets_share(spark, num, den):
+    """Sets at the edge of the rule, listed and cut in two random orders, still meet."""
+    rule, rng = setjoin.Rule(num, den), np.random.default_rng(4)
+    sizes = np.arange(1, 400)
+    cols = spark.range(1, 400).select(rule.listed_column(F.col("id")).alias("l"), rule.kept_column(F.col("id")).alias("k")).collect()
+    listed, kept = (np.array([r[c] for r in cols]) for c in "lk")
+    assert (listed == rule.listed(sizes)).all() and (kept >= 1).all() and (kept <= listed).all()
+    for s in range(1, 400):
+        t = int(rng.integers(rule.smallest(s), s + 1))
+        if (c := rule.overlap(s, t)) > t:
+            continue
+        both, a, b = np.split(rng.permutation(4000)[: s + t - c], [c, s])
+        one, two = rng.random(4000), rng.random(4000)
+        cut = []
+        for x in (np.concatenate([both, a]), np.concatenate([both, b])):
+            first = x[np.argsort(one[x])][: listed[len(x) - 1]]
+            cut.append(first[np.argsort(two[first])][: kept[len(x) - 1]])
+        assert np.isin(*cut).any()
