@@ -23,7 +23,7 @@ def snps_or_raise(df: DataFrame, prefix: str = domain.SNP_PREFIX) -> list[str]:
     """The SNP columns; an error if there is none."""
     snps = domain.snp_columns(df.columns, prefix)
     if not snps:
-        raise ValueError("no SNP columns found")
+        raise ValueError(f"no SNP among the columns, whose names start with {prefix!r}")
     return snps
 
 

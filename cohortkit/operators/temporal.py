@@ -24,7 +24,7 @@ def with_time_key(df: DataFrame, mode: str = "year", date: str = domain.REGISTRY
         day = day.cast("date")
     if mode == "registry_date":
         if day is None:
-            raise ValueError(f"{date} column is required")
+            raise ValueError(f"a time key by date needs {date}, which is not among {df.columns}")
         return df.withColumn("time_key", day)
     if year in df.columns:
         return df.withColumn("time_key", quoted(year).cast("int"))
@@ -56,7 +56,7 @@ def prevalence(df: DataFrame, mode: str = "year", target: str = domain.TARGET, *
 def feature_trend(df: DataFrame, feature: str, mode: str = "year", agg: str = "mean", **names) -> DataFrame:
     """Mean or exact median of a feature per time key."""
     if feature not in df.columns:
-        raise ValueError(f"{feature} not found")
+        raise ValueError(f"no trend of {feature}, which is not among {df.columns}")
     if agg not in ("mean", "median"):
         raise ValueError(f"agg must be mean or median, not {agg!r}")
     keyed = with_time_key(df, mode, **names).where("time_key IS NOT NULL")
