@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import number, quoted
 
-# Columns per side of one block of pairs; wider sets are cut into blocks, each of
-# which reads only its own columns.
+# Columns per side of one block of the work inside a task.
 BLOCK = 512
 
+# Bytes of the moments that a task holds. One scan serves all pairs that fit (about
+# 1,180 columns); wider sets are scanned once per slice of left columns.
+STATE_BYTES = 64 << 20
+
 # Tasks whose states are merged together first, so that no group holds a row of every task.
 _FAN_IN = 64
 
-_STATE = ["n", "mx", "my", "xx", "yy", "xy"]
-
 
 def cross_correlations(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
     """Correlation of every left column with every right column: ``feature_a``, ``feature_b``, ``r``.
@@ -29,29 +30,25 @@ def cross_correlations(df: DataFrame, left: Sequence[str], right: Sequence[str])
     Pairs are counted over rows where both are known; ``r`` is null if either is
     constant there, and lies within -1 and 1.
     """
-    left, right = list(left), list(right)
-    blocks = [
-        _block(df, left, range(i, min(i + BLOCK, len(left))), right, range(j, min(j + BLOCK, len(right))))
-        for i in range(0, len(left), BLOCK)
-        for j in range(0, len(right), BLOCK)
-    ]
-    return reduce(DataFrame.unionByName, blocks).select("feature_a", "feature_b", "r")
+    return _scans(df, list(left), list(right)).select("feature_a", "feature_b", "r")
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Upper triangle of the correlation matrix: positions, names and ``r``."""
+def correlation_pairs(df: DataFrame, columns: Sequence[str], *, above: float | None = None) -> DataFrame:
+    """Upper triangle of the correlation matrix: positions, names and ``r``.
+
+    With ``above`` only pairs whose ``r`` is beyond it on either side leave the tasks
+    that finish them.
+    """
     columns = list(columns)
-    blocks = [
-        _block(df, columns, range(i, min(i + BLOCK, len(columns))), columns, range(j, min(j + BLOCK, len(columns))))
-        for i in range(0, len(columns), BLOCK)
-        for j in range(i, len(columns), BLOCK)
-    ]
-    return reduce(DataFrame.unionByName, blocks).where("position_a < position_b")
+    return _scans(df, columns, columns, first=1, above=above)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The full matrix in long form, both triangles and the diagonal."""
-    return cross_correlations(df, columns, columns)
+    """The full matrix in long form: the upper triangle is computed, the lower one mirrored."""
+    columns = list(columns)
+    sides = [F.struct(F.col(a).alias("feature_a"), F.col(b).alias("feature_b")) for a, b in (("feature_a", "feature_b"), ("feature_b", "feature_a"))]
+    both = F.when(F.col("position_a") < F.col("position_b"), F.array(*sides)).otherwise(F.array(sides[0]))
+    return _scans(df, columns, columns, first=0).select(F.explode(both).alias("pair"), "r").select("pair.*", "r")
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
@@ -115,17 +112,42 @@ def _moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def _block(df: DataFrame, left: list[str], rows: range, right: list[str], columns: range) -> DataFrame:
-    """Positions, names and ``r`` of a block of pairs; a task sends one packed state per left column."""
+def _scans(
+    df: DataFrame, left: list[str], right: list[str], *, first: int | None = None, above: float | None = None
+) -> DataFrame:
+    """All pairs of a left and a right column, in as few scans as the states of a task allow.
+
+    With ``first`` both sides are the same list and only pairs whose right position is at
+    least that many after the left one are computed.
+    """
+    step = max(1, STATE_BYTES // (48 * max(1, len(right))))
+    parts, start = [], 0
+    while start < len(left) or not parts:
+        stop = min(start + step, len(left))
+        parts.append(_scan(df, left, range(start, stop), right, range(start if first is not None else 0, len(right)), first, above))
+        start = stop
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _scan(
+    df: DataFrame, left: list[str], rows: range, right: list[str], columns: range, first: int | None, above: float | None
+) -> DataFrame:
+    """Positions, names and ``r`` of some left columns; a task sends one packed state per left column."""
     x_names, y_names = [left[i] for i in rows], [right[j] for j in columns]
-    width = len(y_names)
+    width, shared = len(y_names), first is not None
+    x_start, y_start = rows.start, columns.start
 
     def states(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((6, len(x_names), width))
         for frame in batches:
             values = frame.to_numpy(dtype=float, na_value=np.nan)
-            if len(values):
-                total = merged(total, _moments(values[:, : len(x_names)], values[:, len(x_names) :]))
+            if not len(values):
+                continue
+            x, y = values[:, : len(x_names)], values if shared else values[:, len(x_names) :]
+            for i in range(0, len(x_names), BLOCK):
+                for j in range(i // BLOCK * BLOCK if shared else 0, width, BLOCK):
+                    at = np.s_[:, i : i + BLOCK, j : j + BLOCK]
+                    total[at] = merged(total[at], _moments(x[:, i : i + BLOCK], y[:, j : j + BLOCK]))
         part = TaskContext.get().partitionId() // _FAN_IN
         yield pd.DataFrame({"part": part, "i": np.arange(len(x_names)), "state": [total[:, i].tobytes() for i in range(len(x_names))]})
 
@@ -140,19 +162,22 @@ def _block(df: DataFrame, left: list[str], rows: range, right: list[str], column
             for i, state in zip(frame["i"], frame["state"], strict=True):
                 _, _, _, xx, yy, xy = np.frombuffer(state).reshape(6, width)
                 spread = np.sqrt(xx) * np.sqrt(yy)
-                r = np.divide(xy, spread, out=np.full(width, np.nan), where=spread > 0)
-                yield pd.DataFrame({"i": i, "j": np.arange(width), "r": np.clip(r, -1, 1)})
+                r = np.clip(np.divide(xy, spread, out=np.full(width, np.nan), where=spread > 0), -1, 1)
+                wanted = np.ones(width, bool)
+                if shared:
+                    wanted = np.arange(width) + y_start >= i + x_start + first
+                if above is not None:
+                    wanted &= np.abs(np.nan_to_num(r)) > above
+                yield pd.DataFrame({"i": i + x_start, "j": np.flatnonzero(wanted) + y_start, "r": r[wanted]})
 
     schema = "part int, i int, state binary"
-    packed = df.select(
-        *[number(quoted(c)).alias(f"x{k}") for k, c in enumerate(x_names)],
-        *[number(quoted(c)).alias(f"y{k}") for k, c in enumerate(y_names)],
-    ).mapInPandas(states, schema)
+    read = y_names if shared else [*x_names, *y_names]
+    packed = df.select(*[number(quoted(c)).alias(f"x{k}") for k, c in enumerate(read)]).mapInPandas(states, schema)
     total = packed.groupBy("part", "i").applyInPandas(added, schema).groupBy("i").applyInPandas(added, schema)
     return total.select("i", "state").mapInPandas(finished, "i int, j int, r double").select(
-        (F.col("i") + rows.start).alias("position_a"),
-        (F.col("j") + columns.start).alias("position_b"),
-        F.array(*[F.lit(c) for c in x_names])[F.col("i")].alias("feature_a"),
-        F.array(*[F.lit(c) for c in y_names])[F.col("j")].alias("feature_b"),
+        F.col("i").alias("position_a"),
+        F.col("j").alias("position_b"),
+        F.array(*[F.lit(c) for c in left]).cast("array<string>")[F.col("i")].alias("feature_a"),
+        F.array(*[F.lit(c) for c in right]).cast("array<string>")[F.col("j")].alias("feature_b"),
         F.when(~F.isnan("r"), F.col("r")).alias("r"),
     )

@@ -105,16 +105,20 @@ def fit_selection(
     phenotypes = list(phenotypes)
     dropped: dict[str, str] = {}
     if phenotypes:
-        weak = weak_target_features(
-            target_correlations(df, phenotypes, target), limits["phenotype_target_corr_threshold"]
-        ).withColumn("reason", F.lit("weak_target_correlation"))
-        if len(phenotypes) > 1:
-            redundant = redundant_features(
-                correlation_pairs(df, phenotypes), limits["phenotype_correlation_threshold"]
-            ).withColumn("reason", F.lit("redundant"))
-            weak = weak.unionByName(redundant)
-        why = {r["feature"]: r["reason"] for r in weak.collect()}
-        dropped = {c: why[c] for c in sorted(why)}
+        # The target is one more column of the grid, so one scan gives both kinds of pair.
+        pairs = correlation_pairs(df, [*phenotypes, target])
+        to_target = F.col("position_b") == len(phenotypes)
+        strength = F.abs("r")
+        weak = to_target & (strength < limits["phenotype_target_corr_threshold"])
+        redundant = ~to_target & (strength > limits["phenotype_correlation_threshold"])
+        gone = pairs.select(
+            F.when(weak, F.struct(F.col("feature_a").alias("feature"), F.lit("weak_target_correlation").alias("reason")))
+            .when(redundant, F.struct(F.col("feature_b").alias("feature"), F.lit("redundant").alias("reason")))
+            .alias("gone")
+        )
+        # Redundant is the smaller text, so it is the reason named for a feature that is both.
+        found = gone.where(F.col("gone").isNotNull()).groupBy("gone.feature").agg(F.min("gone.reason").alias("reason"))
+        dropped = {r["feature"]: r["reason"] for r in found.orderBy("feature").collect()}
     kept_snps: list[str] = []
     dropped_snps: dict[str, str] = {}
     if snps:
@@ -122,7 +126,8 @@ def fit_selection(
         passing = [s for s in snps if chain[s]]
         redundant_snps = set()
         if len(passing) > 1:
-            found = redundant_features(correlation_pairs(df, passing), limits["snp_correlation_threshold"])
+            limit = limits["snp_correlation_threshold"]
+            found = redundant_features(correlation_pairs(df, passing, above=limit), limit)
             redundant_snps = {r["feature"] for r in found.collect()}
         kept_snps = [s for s in passing if s not in redundant_snps]
         kept = set(kept_snps)

@@ -140,8 +140,10 @@ def test_correlations_are_pairwise_complete(spark):
     assert got["a", "k"] is None and len(got) == 6
 
 
-def test_blocks_cover_every_pair(spark, monkeypatch):
+@pytest.mark.parametrize("state_bytes", [correlation.STATE_BYTES, 500])
+def test_blocks_cover_every_pair(spark, monkeypatch, state_bytes):
     monkeypatch.setattr(correlation, "BLOCK", 2)
+    monkeypatch.setattr(correlation, "STATE_BYTES", state_bytes)  # 500 bytes: two columns a scan
     rng = np.random.default_rng(5)
     data = rng.normal(size=(40, 5))
     names = list("abcde")
@@ -151,6 +153,23 @@ def test_blocks_cover_every_pair(spark, monkeypatch):
     assert len(got) == 25
     for r in got:
         assert r["r"] == pytest.approx(full[names.index(r["feature_a"]), names.index(r["feature_b"])], abs=1e-9)
+    crossed = correlation.cross_correlations(df, names[:3], names[2:]).collect()
+    assert len(crossed) == 9
+    for r in crossed:
+        assert r["r"] == pytest.approx(full[names.index(r["feature_a"]), names.index(r["feature_b"])], abs=1e-9)
+    limit = float(np.median(np.abs(full[np.triu_indices(5, 1)])))
+    beyond = correlation.correlation_pairs(df, names, above=limit).collect()
+    assert {(r["position_a"], r["position_b"]) for r in beyond} == {
+        (i, j) for i in range(5) for j in range(i + 1, 5) if abs(full[i, j]) > limit + 1e-12
+    }
+
+
+def test_one_scan_serves_all_pairs(spark, tmp_path):
+    names = [f"c{i}" for i in range(600)]  # more than one block
+    spark.range(20).select(*[((F.col("id") * (i + 3)) % 17).cast("double").alias(c) for i, c in enumerate(names)]).write.parquet(f"{tmp_path}/t")
+    pairs = correlation.correlation_pairs(spark.read.parquet(f"{tmp_path}/t"), names, above=0.5)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
 
 
 def test_selection_rules(spark):

@@ -91,7 +91,7 @@ def target_correlations(spark, folder):
     ) + ") SELECT DISTINCT feature FROM pairs WHERE r > 0.6",
 )
 def redundant_features(spark, folder):
-    return correlation.redundant_features(correlation.correlation_pairs(_line(spark, folder), NUMBERS), 0.6)
+    return correlation.redundant_features(correlation.correlation_pairs(_line(spark, folder), NUMBERS, above=0.6), 0.6)
 
 
 @query(
