@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit import domain
+from cohortkit.functions.columns import text_sql
 from cohortkit.operators.columns import require_columns
 from cohortkit.operators.selection import Selection
 from cohortkit.sources.readers import PREDICTION_COLUMNS, table_exists
@@ -34,32 +35,42 @@ def replace_table(
 ) -> None:
     """Replace a table as a whole, also when ``df`` reads that table.
 
-    The new content is written under another name, passes ``check`` (which reads
-    the written table, so nothing is computed twice) and is then renamed; if the
-    job or the check fails, the old table stays. ``buckets`` stores it bucketed
-    by the key: joins of tables with equal buckets need no shuffle. ``folder``
-    places the files there instead of in the warehouse. The old table is set aside
-    under ``<name>__old`` until the new one has the name, and then removed with its
-    files; a run that finds only the table set aside gives it its name back first.
+    The new content is written under another name and passes ``check`` (which reads
+    the written table, so nothing is computed twice); if the job or the check fails,
+    the old table stays. ``buckets`` stores it bucketed by the key: joins of tables
+    with equal buckets need no shuffle. ``folder`` places the files there instead of
+    in the warehouse.
+
+    A table with the same columns and buckets is then pointed at the new files, one
+    change of the catalog, so a reader finds the old or the new content and never
+    none. The files before stay for readers that began earlier, until the next
+    replacement. A table whose layout changes is set aside under ``<name>__old``
+    while the new one takes the name; a run that finds only the table set aside gives
+    it its name back first.
     """
     spark = df.sparkSession
     if not table_exists(spark, name) and table_exists(spark, f"{name}__old"):
         spark.sql(f"ALTER TABLE {name}__old RENAME TO {name}")
     staged = f"{name}__{uuid.uuid4().hex[:8]}"
+    present = table_exists(spark, name)
+    place = folder or (_database_folder(spark, name) if present else None)
     writer = df.write
     if buckets:
         writer = writer.bucketBy(buckets, key).sortBy(key)
-    if folder:
-        writer = writer.option("path", f"{folder.rstrip('/')}/{staged}")
+    if place:
+        writer = writer.option("path", f"{place.rstrip('/')}/{staged}")
     writer.saveAsTable(staged)
     if check:
         try:
             check(spark.table(staged))
         except Exception:
-            spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            _drop_with_files(spark, staged)
             raise
+    if present and _layout(spark, name) == _layout(spark, staged):
+        _point(spark, name, staged)
+        return
     aside = f"{name}__old"
-    if table_exists(spark, name):
+    if present:
         spark.sql(f"DROP TABLE IF EXISTS {aside}")
         spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
@@ -67,13 +78,59 @@ def replace_table(
         _drop_with_files(spark, aside)
 
 
+# Table property that names the files of the content before.
+_EARLIER_FILES = "cohortkit.earlier_files"
+
+
+def _database_folder(spark: SparkSession, name: str) -> str:
+    database = name.rpartition(".")[0] or spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(database).locationUri
+
+
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def _layout(spark: SparkSession, name: str) -> tuple:
+    """What two tables must share for one to take over the other's files."""
+    details = _details(spark, name)
+    columns = [(f.name, f.dataType.json()) for f in spark.table(name).schema.fields]
+    return columns, [details.get(k) for k in ("Provider", "Num Buckets", "Bucket Columns", "Sort Columns")]
+
+
+def _earlier_files(spark: SparkSession, name: str) -> str | None:
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return properties.get(_EARLIER_FILES)
+
+
+def _point(spark: SparkSession, name: str, staged: str) -> None:
+    """Let a table read the files of a staged one, whose entry then goes.
+
+    A run that ends between two of these steps leaves the table whole, before or
+    after the change, and at most a folder or an entry that nothing reads.
+    """
+    before, oldest = _details(spark, name)["Location"], _earlier_files(spark, name)
+    after = _details(spark, staged)["Location"]
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {text_sql(after)}")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_EARLIER_FILES}' = {text_sql(before)})")
+    spark.sql(f"DROP TABLE {staged}")  # external, so its files stay
+    if oldest and oldest not in (before, after):
+        _delete_files(spark, oldest)
+
+
 def _drop_with_files(spark: SparkSession, name: str) -> None:
-    """Drop a table and the files of an external one."""
-    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    """Drop a table, the files of an external one and those of its content before."""
+    details, oldest = _details(spark, name), _earlier_files(spark, name)
     spark.sql(f"DROP TABLE {name}")
     if details.get("Type") == "EXTERNAL" and details.get("Location"):
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(details["Location"])
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete_files(spark, details["Location"])
+    if oldest:
+        _delete_files(spark, oldest)
+
+
+def _delete_files(spark: SparkSession, location: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def append_table(df: DataFrame, name: str, *, folder: str | None = None) -> None:

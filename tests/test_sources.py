@@ -1,4 +1,5 @@
 import json
+import threading
 
 import pytest
 from pyspark.sql import Row
@@ -40,6 +41,66 @@ def test_replace_keeps_the_old_table_when_the_check_fails(spark, store):
     assert readers.count_rows(spark, name) == 6
 
 
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_a_reader_never_misses_a_table_being_replaced(spark, store, buckets):
+    name, folder = store.merged, store.folder if buckets else None
+
+    def replace(content):
+        rows = spark.range(100).select(F.col("id").alias("patient_id"), F.lit(content).alias("content"))
+        writers.replace_table(rows, name, buckets=buckets, folder=folder)
+
+    replace(0)
+    session, seen, stop = spark.newSession(), [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                session.catalog.refreshTable(name)
+                seen.append(tuple(session.table(name).agg(F.count("*"), F.min("content"), F.max("content")).first()))
+            except Exception as error:
+                seen.append(str(error))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for content in range(1, 5):
+        replace(content)
+    stop.set()
+    reader.join()
+    assert len(seen) > 2 and all(row[0] == 100 and row[1] == row[2] for row in seen), seen
+    assert spark.table(name).first()["content"] == 4
+    began = spark.table(name)  # files of the content before stay for it
+    replace(5)
+    assert began.count() == 100 and {r["content"] for r in began.collect()} == {4}
+    writers.append_table(spark.table(name), name)
+    assert spark.table(name).count() == 200
+
+
+@pytest.mark.parametrize("step", ["SET LOCATION", "SET TBLPROPERTIES", "DROP TABLE", "RENAME TO"])
+def test_a_replacement_that_stops_at_any_step_leaves_the_table_whole(spark, store, monkeypatch, step):
+    name = store.merged
+    rows = spark.range(3).withColumnRenamed("id", "patient_id")
+    other = rows.withColumn("more", F.lit(1))  # another layout takes the two renames
+    newer = other if step == "RENAME TO" else rows.unionByName(rows)
+    writers.replace_table(rows, name, folder=store.folder)
+    run = type(spark).sql
+
+    def stopped(session, text, *args, **kwargs):
+        if step in text:
+            if step == "RENAME TO" and "__old" in text:
+                return run(session, text, *args, **kwargs)  # stops at the second rename
+            raise RuntimeError("stopped")
+        return run(session, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", stopped)
+    with pytest.raises(RuntimeError, match="stopped"):
+        writers.replace_table(newer, name, folder=store.folder)
+    monkeypatch.undo()
+    if step != "RENAME TO":
+        assert spark.table(name).count() == (3 if step == "SET LOCATION" else 6)
+    writers.replace_table(newer, name, folder=store.folder)
+    assert spark.table(name).columns == newer.columns and spark.table(name).count() == newer.count()
+
+
 def test_append_matches_names_and_feature_store_matches_order(spark, store):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     writers.append_table(df, store.merged, folder=store.folder)
