@@ -29,6 +29,9 @@ from cohortkit.sources.writers import append_audit, append_feature_store, append
 
 CONSENTS = ["consent_raw", "consent_integrate", "consent_retrain"]
 
+# Column in which a stream marks patients that an earlier micro-batch scored.
+SCORED_BEFORE = "scored_before"
+
 
 @dataclass
 class Scoring:
@@ -74,8 +77,8 @@ def arrival_errors(batch: DataFrame, scoring: Scoring) -> Column:
 def check_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore) -> DataFrame:
     """Add ``errors`` to each row.
 
-    Rows without a key, patients twice in the batch, and patients whose raw or clean
-    data is stored already are rejected too.
+    Rows without a key, patients twice in the batch, patients whose raw or clean
+    data is stored already and those marked as scored before are rejected too.
     """
     spark = batch.sparkSession
     key = domain.KEY
@@ -86,6 +89,8 @@ def check_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore) -> Da
         F.when(quoted(key).isNull(), f"{key} is missing"),
         F.when(F.col("_repeated"), "patient occurs twice in the batch"),
     ]
+    if SCORED_BEFORE in batch.columns:
+        extra.append(F.when(F.col(SCORED_BEFORE), "patient was scored before"))
     tables = [t for t in (store.phenotypes, store.raw_keys) if spark.catalog.tableExists(t)]
     if tables:
         stored = reduce(DataFrame.unionByName, [keys_present(spark.table(t), known) for t in tables]).distinct()
@@ -99,7 +104,7 @@ def check_arrivals(batch: DataFrame, scoring: Scoring, store: CohortStore) -> Da
 def clean_arrivals(valid: DataFrame, scoring: Scoring) -> tuple[DataFrame, DataFrame]:
     """Clean phenotype and genotype tables of the valid rows, by the cohort's fitted state."""
     snps = scoring.geno_fit.snps
-    aside = [domain.REGISTRY_DATE, *CONSENTS, "has_genotype", "errors", *domain.snp_columns(valid.columns)]
+    aside = [domain.REGISTRY_DATE, *CONSENTS, "has_genotype", "errors", SCORED_BEFORE, *domain.snp_columns(valid.columns)]
     pheno = clean_phenotypes(cols.drop_columns(valid, aside), scoring.pheno_fit, check=False)
     geno = clean_genotypes(cols.select_features(valid, snps, [domain.KEY]), scoring.geno_fit, check=False)
     dates = valid.select(

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from cohortkit.plans.arrivals import Scoring, score_arrivals, store_arrivals
+from cohortkit import domain
+from cohortkit.functions.columns import normal_name, quoted
+from cohortkit.plans.arrivals import SCORED_BEFORE, Scoring, arrival_errors, score_arrivals, store_arrivals
 from cohortkit.plans.store import CohortStore
+from cohortkit.session import materialise
+
+# How long a stream remembers a scored patient after its last arrival.
+REMEMBER_DAYS = 90.0
 
 
 def arriving(spark: SparkSession, folder: str, schema: T.StructType, *, max_files: int | None = None) -> DataFrame:
@@ -24,17 +35,64 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
 
 
+def mark_scored_before(arrivals: DataFrame, scoring: Scoring, *, days: float = REMEMBER_DAYS, clock_skew: str = "1 hour") -> DataFrame:
+    """Add whether an earlier micro-batch scored the row's patient, from state kept per patient.
+
+    A patient is remembered when it arrives in a single row without errors, so a
+    corrected row of a rejected patient is still scored. Each arrival renews the
+    time limit, which runs on the times of the micro-batches; ``clock_skew`` is how far the
+    driver's clock may step back before rows would count as late. Rows without a key have no state and are told apart by their content,
+    so that they do not meet in one group.
+    """
+    key, duration = domain.KEY, int(days * 86_400_000)
+    arrivals = arrivals.toDF(*[normal_name(c) for c in arrivals.columns])
+    fields = arrivals.schema.fields
+    # As text no value changes on its way through pandas, whose integers and flags hold no nulls.
+    texts = [quoted(f.name).cast("string").alias(f.name) for f in fields]
+    keyless = F.when(quoted(key).isNull(), F.xxhash64(*[quoted(f.name) for f in fields]))
+    rows = arrivals.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", clock_skew).select(
+        "_arrived", F.unix_millis("_arrived").alias("_millis"), quoted(key).cast("string").alias("_state_key"), keyless.alias("_keyless"),
+        (F.size(arrival_errors(arrivals, scoring)) == 0).alias("_valid"), *texts,
+    )
+    names = [f.name for f in fields]
+
+    def mark(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        before, count, valid, deadline = state.exists, 0, 0, 0
+        for frame in frames:
+            count += len(frame)
+            valid += int(frame["_valid"].sum())
+            deadline = int(frame["_millis"].iloc[0]) + duration
+            yield frame[names].assign(**{SCORED_BEFORE: before})
+        if group[0] is not None and (before or count == valid == 1):
+            state.update((True,))
+            state.setTimeoutTimestamp(deadline)
+
+    output = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField(SCORED_BEFORE, T.BooleanType())])
+    marked = rows.groupBy("_state_key", "_keyless").applyInPandasWithState(
+        mark, output, "scored boolean", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return marked.select(*[quoted(f.name).cast(f.dataType).alias(f.name) for f in fields], SCORED_BEFORE)
+
+
 def score_stream(
-    arrivals: DataFrame, scoring: Scoring, store: CohortStore, results: str, checkpoint: str
+    arrivals: DataFrame, scoring: Scoring, store: CohortStore, results: str, checkpoint: str,
+    *, remember_days: float = REMEMBER_DAYS,
 ) -> DataStreamWriter:
     """Process each micro-batch like a batch; results are written per batch id.
 
+    A patient is scored once within ``remember_days``, whatever was stored of it. A batch
+    is written before it is used, so its state is computed once.
+
     Results are written before anything is stored. A batch that runs again after
     a failure keeps its results if they were written to the end, writes them anew if
     not, and completes the storing.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = materialise(batch, f"arrived-{batch_id}")
         if batch.isEmpty():
             return
         path = f"{results.rstrip('/')}/batch={batch_id}"
@@ -44,7 +102,7 @@ def score_stream(
         store_arrivals(batch, spark.read.parquet(path), scoring, store)
 
     return (
-        arrivals.writeStream.foreachBatch(handle)
+        mark_scored_before(arrivals, scoring, days=remember_days).writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )

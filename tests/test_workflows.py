@@ -1,5 +1,9 @@
+import time
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortkit import domain
 from cohortkit.operators.selection import Selection
@@ -10,7 +14,7 @@ from cohortkit.plans.featurize import store_features, transform_features
 from cohortkit.plans.preprocess import preprocess_cohort, preprocess_patients
 from cohortkit.session import scratch_path
 from cohortkit.sources.writers import replace_table
-from cohortkit.streaming.arrivals import arriving, score_stream
+from cohortkit.streaming.arrivals import arriving, mark_scored_before, score_stream
 from tests.conftest import new_store
 from tests.people import five_patients, geno_rows, pheno_rows
 
@@ -154,6 +158,76 @@ def test_stream_gives_the_batch_results_and_survives_a_replay(spark, store, scor
     assert store_sizes(spark, store) == sizes
 
 
+def test_stream_scores_a_patient_once_whatever_was_stored(spark, store, scoring):
+    """Patient 1001 consents to nothing, so no table knows it; 1005 is rejected first and then corrected."""
+    first = _batch(spark)
+    keyless = first.where("patient_id = 1002").withColumn("patient_id", F.lit(None).cast("bigint"))
+    second = first.where("patient_id in (1000, 1001)").unionByName(
+        first.where("patient_id = 1005").withColumn("bmi", F.lit(25.0).cast(first.schema["bmi"].dataType))
+    ).unionByName(keyless).unionByName(keyless)
+    source, results, progress = (scratch_path(spark, label) for label in ("arriving", "results", "progress"))
+
+    def run(rows, **options):
+        rows.coalesce(1).write.mode("append").parquet(source)
+        score_stream(arriving(spark, source, first.schema), scoring, store, results, progress, **options).start().awaitTermination()
+        done = spark.read.parquet(results)
+        last = done.agg(F.max("batch")).first()[0]
+        return [(r["patient_id"], r["status"], r["errors"]) for r in done.where(F.col("batch") == last).collect()]
+
+    assert {k: status for k, status, _ in run(first)} == STATUS
+    got = sorted(run(second), key=lambda r: (r[0] is None, r[0] or 0))
+    assert [(k, status) for k, status, _ in got] == [
+        (1000, "rejected"), (1001, "rejected"), (1005, "scored"), (None, "rejected"), (None, "rejected"),
+    ]
+    assert got[1][2] == ["patient was scored before"]
+    # The two rows without a key stay two rows, each with that reason.
+    assert all("patient_id is missing" in errors for _, _, errors in got[3:])
+
+
+def _marked(spark, rows, paths, **options):
+    """The last micro-batch's rows, marked by a stream over all files so far."""
+    source, sink, progress = paths
+    rows.coalesce(1).write.mode("append").parquet(source)
+    fitted = SimpleNamespace(geno_fit=SimpleNamespace(snps=SNPS))
+    batches = []
+
+    def keep(batch, number):
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        batches.append(number)
+
+    mark_scored_before(arriving(spark, source, rows.schema), fitted, **options).writeStream.foreachBatch(keep).option(
+        "checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    # A batch without new data only lets state run out; the one before it holds the rows.
+    frames = [spark.read.parquet(f"{sink}/batch={n}") for n in batches]
+    return next(f for f in reversed(frames) if not f.isEmpty())
+
+
+def test_state_marks_patients_and_changes_no_value(spark):
+    paths = [scratch_path(spark, label) for label in ("arriving", "marked", "progress")]
+    first = _batch(spark).withColumn("age", F.when(F.col("patient_id") != 1001, F.col("age")))
+    twice = first.where("patient_id = 5")
+    got = _marked(spark, first.unionByName(twice), paths)
+    assert not any(r["scored_before"] for r in got.collect())
+    back = got.drop("scored_before")
+    assert back.schema.simpleString() == first.schema.simpleString()
+    assert back.exceptAll(first.unionByName(twice)).isEmpty() and got.count() == first.count() + 1
+    keyless = first.where("patient_id = 1000").withColumn("patient_id", F.lit(None).cast("bigint"))
+    second = _marked(spark, first.unionByName(keyless).unionByName(keyless), paths).collect()
+    marks = {r["patient_id"]: r["scored_before"] for r in second}
+    # Valid single rows are remembered; rejected rows and rows that came twice are not.
+    assert marks == {1000: True, 1001: True, **dict.fromkeys((1002, 1003, 1004, 1005, 5, None), False)}
+    assert sum(r["patient_id"] is None for r in second) == 2
+
+
+def test_state_ends_with_its_time_limit(spark):
+    paths = [scratch_path(spark, label) for label in ("arriving", "marked", "progress")]
+    batch = _batch(spark)
+    for patient in (1001, 1003, 1001):  # the state of 1001 runs out in the batch of 1003, which leaves none
+        got = _marked(spark, batch.where(F.col("patient_id") == patient), paths, days=1e-6, clock_skew="0 seconds")
+        assert [r["scored_before"] for r in got.collect()] == [False]
+        time.sleep(0.3)
+
+
 def test_feature_store_needs_labels_and_selected_features(spark, store, scoring):
     merged = spark.table(store.merged)
     with pytest.raises(ValueError, match="label"):
