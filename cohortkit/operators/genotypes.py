@@ -2,7 +2,8 @@
 
 A long table holds one row per patient and SNP: key, ``snp``, ``dosage`` (null if missing). The
 per-SNP statistics are a table of their own. They are broadcast while they are small; a table of
-millions of SNPs is joined by (snp, salt), because every SNP has a row of every patient.
+millions of SNPs is merged by (snp, salt), because every SNP has a row of every patient. The salts
+follow the rows of the longest SNP.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from cohortkit import domain
 from cohortkit.functions.columns import number, quoted
 from cohortkit.operators import columns as cols
 from cohortkit.operators.quality import raise_on_violations
-from cohortkit.session import BROADCAST_BYTES, broadcast_if_small
+from cohortkit.session import BROADCAST_BYTES, is_small, materialise
 
-# Parts of one SNP's rows in a shuffled join.
-SALTS = 32
+# Rows of one SNP that a task of a shuffled join should take.
+SALT_ROWS = 200_000
 
 
 def long_snp_quality(long: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def fit_long_genotypes(long: DataFrame) -> DataFrame:
 
     At most ten bad SNPs are named, whatever their number.
     """
-    report = long_snp_quality(long)
+    report = materialise(long_snp_quality(long), "snp-quality")
     bad = report.where("invalid > 0").select(F.col("snp").alias("check"), F.col("invalid").alias("violations"))
     raise_on_violations(bad.orderBy("check").limit(10), "invalid dosages")
     return report.where("kept").select("snp", "mean_dosage")
@@ -61,14 +62,16 @@ def clean_long_genotypes(
     the fit lacks goes; other columns are left out.
     """
     cols.require_columns(long, [key, "snp", "dosage"])
-    means = broadcast_if_small(fit_long_genotypes(long) if fit is None else fit.select("snp", "mean_dosage"), max_bytes)
+    means = materialise(fit_long_genotypes(long) if fit is None else fit.select("snp", "mean_dosage"), "snp-means")
     rows = long.select(quoted(key), "snp", number(quoted("dosage")).alias("dosage"))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(quoted(key)), F.lit(SALTS)).cast("int"))
-    spread = means.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    if "ResolvedHint" in means._jdf.queryExecution().analyzed().toString():
-        joined = rows.join(means, "snp")
+    if is_small(means, max_bytes):
+        joined = rows.join(F.broadcast(means), "snp")
     else:
-        joined = salted.join(spread, ["snp", "_salt"])
+        longest = rows.where("snp IS NOT NULL").groupBy("snp").count().agg(F.max("count")).first()[0] or 0
+        salts = -(-longest // SALT_ROWS) or 1
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(quoted(key)), F.lit(salts)).cast("int"))
+        spread = means.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = salted.join(spread.hint("merge"), ["snp", "_salt"])
     return joined.select(quoted(key), "snp", F.coalesce("dosage", "mean_dosage").alias("dosage"))
 
 

@@ -8,8 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A summary is broadcast only if its written files hold at most this many bytes.
+# A summary is broadcast only if its written files hold at most this many bytes, and its rows, which
+# files may hold in far less space, at most so many times that in memory.
 BROADCAST_BYTES = 4 << 20
+_UNPACKED = 8
 
 
 def build_session(app: str = "cohortkit", master: str | None = None, **conf) -> SparkSession:
@@ -87,8 +89,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     """Write a summary once; broadcast it if its files are small, else join it like any table.
 
     Either way the written rows are used, so nothing is computed twice and the
-    choice changes the plan only, never the result.
+    choice changes the plan only, never the result. What is too large is joined by merging, as
+    Spark's own limit goes by the size of the files too.
     """
     written = materialise(df, "summary")
+    return F.broadcast(written) if is_small(written, max_bytes) else written.hint("merge")
+
+
+def is_small(written: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a written table is small enough to be broadcast, by its files and by its rows."""
     size = int(str(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(written) if size <= max_bytes else written
+    return size <= max_bytes and written.count() * written._jdf.schema().defaultSize() <= _UNPACKED * max_bytes

@@ -9,7 +9,7 @@ from cohortkit import domain
 from cohortkit.operators import genotypes, quality
 from cohortkit.plans import analysis
 from cohortkit.plans.ingest import ingest_uploads
-from cohortkit.session import broadcast_if_small, release_scratch, scratch_path
+from cohortkit.session import broadcast_if_small, is_small, materialise, release_scratch, scratch_path
 from cohortkit.sources import manifest, readers, writers
 from tests.people import PHENO_COLUMNS, pheno_rows
 
@@ -279,3 +279,27 @@ def test_scratch_is_named_by_the_session_and_can_be_released(spark):
     assert scratch_path(spark, "x").startswith(root)
     spark.range(1).write.parquet(scratch_path(spark, "x"))
     assert release_scratch(spark) and not release_scratch(spark)
+
+
+def test_a_long_table_of_snps_is_merged_and_never_broadcast(spark):
+    rows = [(p, f"rs{s}", float((p + s) % 3)) for p in range(9) for s in range(30)]
+    long = spark.createDataFrame(rows, "patient_id long, snp string, dosage double")
+    clean = genotypes.clean_long_genotypes(long, max_bytes=0)
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(map(tuple, clean.collect())) == sorted(rows)
+
+
+def test_rows_that_files_hold_in_little_space_are_not_small(spark):
+    many = materialise(spark.range(300_000).select(F.lit("the same text").alias("a"), F.lit(1.0).alias("b")), "many")
+    assert many.inputFiles() and not is_small(many, 1 << 18) and is_small(many, 1 << 22)
+
+
+def test_long_queries_leave_no_view_behind(spark):
+    from workload.genetics import long_snp_quality
+
+    before = {t.name for t in spark.catalog.listTables()}
+    spark.createDataFrame([(1, 1, 1)], "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(
+        f"{(folder := scratch_path(spark, 'given'))}/lineitem.parquet")
+    assert long_snp_quality(spark, folder).count() == 1
+    assert {t.name for t in spark.catalog.listTables()} == before

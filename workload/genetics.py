@@ -20,8 +20,7 @@ _REPORT = (
 
 
 def _long(spark, folder):
-    table(spark, folder, "lineitem").createOrReplaceTempView("_genetics_lines")
-    return spark.sql(_LONG.replace("FROM lineitem", "FROM _genetics_lines"))
+    return spark.sql(_LONG.replace("FROM lineitem", "FROM {lines}"), lines=table(spark, folder, "lineitem"))
 
 
 @query(
