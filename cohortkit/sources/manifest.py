@@ -6,14 +6,16 @@ A manifest has one row per upload: ``path``, ``data_type``, ``patient_id``,
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit import domain
 from cohortkit.operators.quality import date_error
-from cohortkit.session import broadcast_if_small
+from cohortkit.session import broadcast_if_small, materialise
 
 
 def extension(path: Column | str) -> Column:
@@ -62,7 +64,7 @@ def header_names(line: Column) -> Column:
 def file_contents(spark: SparkSession, folder: str, paths: DataFrame | None = None) -> DataFrame:
     """Column names and number of data rows per CSV and JSON file below a folder: ``path``, ``header``, ``n_rows``.
 
-    Extensions count in any case. A JSON file holds an array of records, or one, and is read by one task; one that
+    Extensions count in any case. A JSON file holds an array of records, or one; one that
     holds none has no names and no rows. A line feed inside a quoted CSV field counts as a row.
     With ``paths`` (path) only those files are looked at.
     """
@@ -74,15 +76,132 @@ def file_contents(spark: SparkSession, folder: str, paths: DataFrame | None = No
     return _csv_contents(spark, folder, wanted).unionByName(_json_contents(spark, folder, wanted))
 
 
+# Blanks of JSON, and what opens, closes and separates its values, escapes included.
+_BLANK = r"[ \t\r\n]*"
+_STRUCTURE = re.compile(r"\\.|[\"'{}\[\],]", re.DOTALL)
+
+
+def _json_fragments(spark: SparkSession, folder: str, wanted: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """JSON files cut behind each closing brace, which is left out: path, size of the file, place (start, line), value."""
+    return wanted(
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[jJ][sS][oO][nN]").option("lineSep", "}").text(folder)
+        .select(
+            plain_path(F.col("_metadata.file_path")).alias("path"),
+            F.col("_metadata.file_size").alias("size"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("line"),
+            "value",
+        )
+    )
+
+
+def _elements(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The records of files whose fragments come in order: path, place, text; a null text says that the file is none.
+
+    Only the record being put together is held.
+    """
+    path, ended = None, True
+    for frame in frames:
+        out = []
+        for name, value, closed in zip(frame["path"], frame["value"], frame["closed"], strict=True):
+            if name != path:
+                if not ended:
+                    out.append((path, at, None))
+                path, ended, at, depth, quote, root, text, opened = name, False, 0, 0, None, None, [], 0
+            if ended:
+                continue
+            piece, begin = value + "}" if closed else value, 0
+            if root is None:
+                bare = piece.lstrip(" \t\r\n")
+                if not bare:
+                    continue
+                root, ended = bare[0], bare[0] not in "[{"
+                begin = len(piece) - len(bare) + (root == "[")
+                depth = int(root == "[")
+            for found in [] if ended else _STRUCTURE.finditer(piece, begin):
+                mark = found.group()
+                if quote:
+                    quote = None if mark == quote else quote
+                elif mark in "\"'":
+                    quote = mark
+                elif mark in "{[":
+                    opened += depth == 1
+                    depth += 1
+                elif mark in "}]":
+                    depth -= 1
+                if quote or mark not in ",]}" or depth > 1 or (depth == 1 and root == "{"):
+                    continue
+                if root == "[" and depth == 1 and mark != ",":
+                    continue
+                end = depth == 0
+                text.append(piece[begin : found.end() if root == "{" else found.start()])
+                record, begin, text = "".join(text).strip(" \t\r\n"), found.end(), []
+                empty = end and at == 0 and root == "[" and not record
+                whole = record == "null" or record[:1] == "{" and record[-1] == "}" and (root == "{" or opened == 1)
+                if not (empty or whole) or end and mark != {"[": "]", "{": "}"}[root]:
+                    out.append((path, at, None))
+                    ended = True
+                    break
+                if record not in ("", "null"):
+                    out.append((path, at, record))
+                opened = 0
+                at += 1
+                if end:
+                    ended = True
+                    break
+            if not ended:
+                text.append(piece[begin:])
+        yield pd.DataFrame(out, columns=["path", "at", "record"])
+    if not ended:
+        yield pd.DataFrame([(path, at, None)], columns=["path", "at", "record"])
+
+
 def _json_contents(spark: SparkSession, folder: str, wanted: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    whole = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[jJ][sS][oO][nN]").text(folder, wholetext=True)
-        .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.coalesce(
-            F.from_json("value", "array<map<string,string>>"), F.array(F.from_json("value", "map<string,string>"))).alias("_records"))
+    """Header and rows of JSON files.
+
+    A file is plain if it is an array of records without a brace inside: then each fragment is a record, wherever it is
+    read. The fragments of other files are put together in order, a file by one task, which holds one record.
+    """
+    pieces = _json_fragments(spark, folder, wanted)
+    value = F.col("value")
+    kind = F.when(value.rlike(rf"^{_BLANK}\[{_BLANK}\{{"), "open").when(value.rlike(rf"^{_BLANK},{_BLANK}\{{"), "next").when(
+        value.rlike(rf"^{_BLANK}\]"), "close").otherwise("other")
+    record = F.concat(F.regexp_extract("value", rf"(?s)^{_BLANK}[\[,]{_BLANK}(\{{.*)$", 1), F.lit("}"))
+    names = lambda text: F.map_keys(F.from_json(text, "map<string,string>"))
+    counted = materialise(
+        pieces.withColumn("kind", kind)
+        .withColumn("names", F.when(F.col("kind").isin("open", "next"), names(record)))
+        .groupBy("path", "start", "kind", "names")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("first"), F.max("line").alias("last"), F.max("size").alias("size"),
+             F.sum(F.octet_length("value") + 1).alias("bytes")),
+        "json-fragments",
+    )
+    of = lambda *kinds: F.coalesce(F.sum(F.when(F.col("kind").isin(*kinds) & (F.col("names").isNotNull() | (F.col("kind") == "close")), F.col("n"))), F.lit(0))
+    files = counted.groupBy("path").agg(
+        ((F.min_by("kind", F.struct("start", "first")) == "open") & (F.max_by("kind", F.struct("start", "last")) == "close")
+         & (of("open") == 1) & (of("close") == 1) & (of("open", "next", "close") == F.sum("n"))).alias("plain"),
+        # One less than the bytes read if no brace ends the file; a byte order mark is not read.
+        F.max_by(F.struct("start", "last"), F.struct("start", "last")).alias("end"),
+        (F.sum("bytes").isin(F.max("size"), F.max("size") - 3)).alias("braced"),
     )
-    records = F.filter("_records", lambda r: r.isNotNull())
-    return wanted(whole).select(
-        "path", F.array_distinct(F.flatten(F.transform(records, F.map_keys))).alias("header"), F.size(records).cast("bigint").alias("n_rows"))
+    files = broadcast_if_small(files)
+    plain = counted.where("names is not null").join(files.where("plain").select("path"), "path", "left_semi").select("path", "start", "first", "names", "n")
+    others = files.where("not plain")
+    if not others.isEmpty():
+        ordered = pieces.join(others, "path").withColumn("closed", F.col("braced") | (F.struct("start", "line") < F.col("end"))).select(
+            "path", "start", "line", "value", "closed").repartition("path").sortWithinPartitions("path", "start", "line")
+        records = ordered.drop("start", "line").mapInPandas(_elements, "path string, at long, record string")
+        rest = records.withColumn("names", names(F.col("record"))).groupBy("path", "names").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+        rest = materialise(rest, "json-records")
+        broken = rest.where("names is null").select("path").distinct()
+        rest = rest.join(broken, "path", "left_anti")
+        plain = plain.unionByName(rest.select("path", F.lit(0).cast("bigint").alias("start"), "first", "names", "n"))
+    sizes = plain.groupBy("path").agg(F.sum("n").alias("n_rows"))
+    places = plain.select("path", "start", "first", F.posexplode("names").alias("at", "name")).groupBy("path", "name").agg(
+        F.min(F.struct("start", "first", "at")).alias("at"))
+    headers = places.groupBy("path").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]).alias("header"))
+    return files.select("path").join(sizes, "path", "left").join(headers, "path", "left").select(
+        "path", F.coalesce("header", F.array().cast("array<string>")).alias("header"), F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"))
 
 
 def _csv_contents(spark: SparkSession, folder: str, wanted: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -303,3 +303,35 @@ def test_long_queries_leave_no_view_behind(spark):
         f"{(folder := scratch_path(spark, 'given'))}/lineitem.parquet")
     assert long_snp_quality(spark, folder).count() == 1
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+_JSON = {
+    "flat": ('[{"a": 1, "b": null},\n {"c": "x"}]\n', ["a", "b", "c"], 2), "single": ('{"a":{"b":{}},"c":[1]} tail', ["a", "c"], 1),
+    "brace": ('[{"a":"x}y","b":"\\"}{"},{"c":"]"}]', ["a", "b", "c"], 2), "quotes": ("[{'a':1},{'b':'}'}]", ["a", "b"], 2),
+    "blanks": ('  \n[ \n{"z":1}\r\n,\t{"y":[{"q":1},{}]} , {} ]  ', ["z", "y"], 3), "nulls": ('[null, {"a":1}, null]', ["a"], 1),
+    "garbage": ('[{"a":1}]{"b":2}', ["a"], 1), "lines": ('{"a":1}\n{"b":2}', ["a"], 1), "empty": ("[]", [], 0), "hollow": ("[{}]", [], 1),
+    **{f"bad{i}": (text, [], 0) for i, text in enumerate([
+        '[{"a":1},{"b":2}', '{"a":1', '[{"a":1},]', '[{"a":1} {"b":2}]', '[1, {"a":2}]', '[{"a":1},{"b":tru}]', '[{"a":{"b":tru}},{"c":1}]',
+        '[{"a":1}}]', "[", "null", '[,{"a":1}]', '[["x"]]'])},
+}
+
+
+@pytest.mark.parametrize("size", ["128m", "8"])
+def test_json_files_in_fragments(spark, tmp_path, size):
+    for name, (text, _, _) in _JSON.items():
+        (tmp_path / f"{name}.json").write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        found = {r["path"].rsplit("/", 1)[1][:-5]: (r["header"], r["n_rows"]) for r in manifest.file_contents(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == {name: (header, n) for name, (_, header, n) in _JSON.items()}
+
+
+def test_a_json_file_is_never_read_as_one_row(spark, tmp_path):
+    (tmp_path / "p.json").write_text("[" + ",\n".join(f'{{"a": {i}, "b": "x"}}' for i in range(5000)) + "]")
+    longest = manifest._json_fragments(spark, str(tmp_path), lambda df: df).agg(F.max(F.length("value"))).first()[0]
+    assert longest < 40
+    row = manifest.file_contents(spark, str(tmp_path)).first()
+    assert (row["header"], row["n_rows"]) == (["a", "b"], 5000)
