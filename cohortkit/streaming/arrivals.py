@@ -42,19 +42,19 @@ def mark_scored_before(arrivals: DataFrame, scoring: Scoring, *, days: float = R
     corrected row of a rejected patient is still scored. Each arrival renews the
     time limit, which runs on the times of the micro-batches; ``clock_skew`` is how far the
     driver's clock may step back before rows would count as late. Rows without a key have no state and are told apart by their content,
-    so that they do not meet in one group.
+    so that they do not meet in one group. The other columns of a row pass the state as one text, because a
+    group is mostly one row and its cost in Python is one per column.
     """
     key, duration = domain.KEY, int(days * 86_400_000)
     arrivals = arrivals.toDF(*[normal_name(c) for c in arrivals.columns])
     fields = arrivals.schema.fields
     # As text no value changes on its way through pandas, whose integers and flags hold no nulls.
-    texts = [quoted(f.name).cast("string").alias(f.name) for f in fields]
+    row = F.to_json(F.struct(*[quoted(f.name).cast("string").alias(f.name) for f in fields]))
     keyless = F.when(quoted(key).isNull(), F.xxhash64(*[quoted(f.name) for f in fields]))
     rows = arrivals.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", clock_skew).select(
         "_arrived", F.unix_millis("_arrived").alias("_millis"), quoted(key).cast("string").alias("_state_key"), keyless.alias("_keyless"),
-        (F.size(arrival_errors(arrivals, scoring)) == 0).alias("_valid"), *texts,
+        (F.size(arrival_errors(arrivals, scoring)) == 0).alias("_valid"), row.alias("_row"),
     )
-    names = [f.name for f in fields]
 
     def mark(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -65,16 +65,17 @@ def mark_scored_before(arrivals: DataFrame, scoring: Scoring, *, days: float = R
             count += len(frame)
             valid += int(frame["_valid"].sum())
             deadline = int(frame["_millis"].iloc[0]) + duration
-            yield frame[names].assign(**{SCORED_BEFORE: before})
+            yield pd.DataFrame({"_row": frame["_row"], SCORED_BEFORE: before})
         if group[0] is not None and (before or count == valid == 1):
             state.update((True,))
             state.setTimeoutTimestamp(deadline)
 
-    output = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField(SCORED_BEFORE, T.BooleanType())])
     marked = rows.groupBy("_state_key", "_keyless").applyInPandasWithState(
-        mark, output, "scored boolean", "append", GroupStateTimeout.EventTimeTimeout
+        mark, f"_row string, {SCORED_BEFORE} boolean", "scored boolean", "append", GroupStateTimeout.EventTimeTimeout
     )
-    return marked.select(*[quoted(f.name).cast(f.dataType).alias(f.name) for f in fields], SCORED_BEFORE)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
+    read = marked.select(F.from_json("_row", texts).alias("_row"), SCORED_BEFORE)
+    return read.select(*[F.col("_row")[f.name].cast(f.dataType).alias(f.name) for f in fields], SCORED_BEFORE)
 
 
 def score_stream(

@@ -219,6 +219,20 @@ def test_state_marks_patients_and_changes_no_value(spark):
     assert sum(r["patient_id"] is None for r in second) == 2
 
 
+def test_state_takes_a_row_as_one_column_whatever_its_texts(spark):
+    fitted = SimpleNamespace(geno_fit=SimpleNamespace(snps=SNPS))
+    paths = [scratch_path(spark, label) for label in ("arriving", "marked", "progress")]
+    texts = ['a "quoted" one', "two\nlines\t\\n", "", "\u00e9\u4e2d\U0001f600", "{}"]
+    odd = _batch(spark).where("patient_id = 1000").drop("location").crossJoin(
+        spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(9, None)], "at long, location string"))
+    odd = odd.withColumn("patient_id", F.col("patient_id") + F.col("at")).drop("at")
+    got = _marked(spark, odd, paths).drop("scored_before")
+    assert got.count() == 6 and got.select(*odd.columns).exceptAll(odd).isEmpty()
+    plan = mark_scored_before(arriving(spark, paths[0], odd.schema), fitted)._jdf.queryExecution().analyzed().toString()
+    state = next(line for line in plan.splitlines() if "FlatMapGroupsInPandasWithState" in line)
+    assert "location" not in state and "_row" in state
+
+
 def test_state_ends_with_its_time_limit(spark):
     paths = [scratch_path(spark, label) for label in ("arriving", "marked", "progress")]
     batch = _batch(spark)
