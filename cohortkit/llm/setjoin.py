@@ -8,8 +8,9 @@ shingles, half as many more as linked sets need to share one of them, so that th
 share several. Counting the lists gives each listed shingle its exact number of sets.
 A set that has too few shingles in common with any other leaves all lists; the rest keep the
 shingles that fewest sets list, again just as many as linked sets need to share one. Candidates in a list are compared
-with one of its members at a time (hubs); lists whose members turn out connected
-need no more, and what is left between components is compared pair by pair. A pair
+with one of its members at a time (hubs), the one whose listed shingles are the most widely listed: of
+near copies it differs least from the others, so that it links with copies that do not link among
+themselves. Lists whose members turn out connected need no more, and what is left between components is compared pair by pair. A pair
 need only meet in the list of its first common shingle, so each listed shingle carries its
 place in the set's order, and a list makes a pair only if what both sets list
 from there on can still be the overlap they need. Equal sets count as one throughout.
@@ -349,8 +350,10 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     # A set's listed shingles by the number of sets that list them; those of no other set come first and need no list.
     own = Window.partitionBy("one", "n")
     place = rule.listed_column(F.col("n")) - F.count("*").over(own) + F.row_number().over(own.orderBy("sets", "token")) - 1
-    rarest = lists.where("kind = 0").withColumn("place", place).where(F.col("place") < rule.kept_column(F.col("n")))
-    heavy = rarest.select("token", F.explode(F.array(part, part + 1)).alias("part"), "doc_id", "n", "place")
+    # How far a set stands apart: the mean over its listed shingles of one in the number of sets that list each.
+    apart = (1 + (F.sum(1 / F.col("sets") - 1).over(own) / rule.listed_column(F.col("n")))).cast("float")
+    rarest = lists.where("kind = 0").withColumns({"place": place, "apart": apart}).where(F.col("place") < rule.kept_column(F.col("n")))
+    heavy = rarest.select("token", F.explode(F.array(part, part + 1)).alias("part"), "doc_id", "n", "place", "apart")
     members = materialise(_members(heavy, None), "set-members")
     heavy = members.drop("component")
 
@@ -385,7 +388,7 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
             pairs = members.join(members.select("token", "part", *other), ["token", "part"]).where((F.col("component") < F.col("other")) & here & fit & reach)
         else:
             hubs = members.groupBy("token", "part").agg(
-                F.min_by(F.struct("doc_id", "n", "place", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("hub"))
+                F.min_by(F.struct("doc_id", "n", "place", "component"), F.struct("apart", F.xxhash64("doc_id", F.lit(turn)))).alias("hub"))
             hubs = hubs.select("token", "part", F.col("hub.doc_id").alias("b"), F.col("hub.n").alias("m"), F.col("hub.place").alias("at"), F.col("hub.component").alias("other"))
             pairs = members.join(hubs, ["token", "part"]).where((F.col("component") != F.col("other")) & here & fit & reach)
         found = compared(pairs.select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")))

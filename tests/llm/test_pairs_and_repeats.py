@@ -46,6 +46,32 @@ def test_near_copies_of_very_long_documents(spark, k, num, den):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+@pytest.mark.parametrize(("k", "num", "den", "changed"), [(3, 90, 100, 2), (5, 80, 100, 3)])
+def test_copies_that_link_through_one_text_only_are_not_compared_in_pairs(spark, monkeypatch, k, num, den, changed):
+    """Each copy differs from the common text by a little less than the rule allows, and from most others by more."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(3000)}" for _ in range(150)]
+    rows, copies = [(7, " ".join(base))], 150
+    for d in range(copies):
+        w = list(base)
+        for i, at in enumerate(rng.sample(range(5, 145), changed)):
+            w[at] = f"x{d}of{i}"
+        rows.append((100 + d, " ".join(w)))
+    rows.append((1, " ".join(base[:100] + [f"y{i}" for i in range(50)])))
+    compared, write = [], setjoin.materialise
+
+    def counted(df, label):
+        out = write(df, label)
+        if label == "set-pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(setjoin, "materialise", counted)
+    got = setjoin.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), k, num, den).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute.components(rows, k, num, den)
+    assert sum(compared) <= 4 * len(rows)
+
+
 def test_light_sets_of_three_sizes_need_their_own_overlap():
     rule = setjoin.Rule(90, 100)
     assert (20, 19) in rule.partners(19, 40) and (18, 18) in rule.partners(20, 40)
