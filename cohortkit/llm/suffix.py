@@ -45,6 +45,8 @@ from cohortkit.session import materialise
 LENGTH, _GRAM, BLOCK = 200, 48, 1 << 20
 #: Bytes of contexts that are sorted at a time, and differing contexts from which a gram's strings are judged one by one.
 PIECE, MANY = 8 << 20, 4096
+#: Anchors that are sorted at a time, and bytes of the input's files for each shard of anchors.
+JUDGED, SHARD = 1 << 18, 64 << 20
 _REPEATED, _COMPARE, _MANY = 1, 2, 4
 # Levels of 64 files into which a shard may be dealt.
 _LEVELS = 4
@@ -96,8 +98,10 @@ class _Anchors:
         high = valid[np.concatenate([new[1:], [len(valid)]]) - 1]
         ends = high + length
         prints = mix((total[ends] - total[low]) * back[low] + mix(((ends - low) << 20 | (anchor - low)).astype(np.uint64)))
-        order = np.lexsort((low, prints, grams[anchor]))
-        self.hash, self.print, self.low, self.high = grams[anchor][order], prints[order], low[order], high[order]
+        # An anchor has the least hash of many, so its hash is small; mixed once more, the anchors spread evenly over the shards.
+        hashes = mix(grams[anchor])
+        order = np.lexsort((low, prints, hashes))
+        self.hash, self.print, self.low, self.high = hashes[order], prints[order], low[order], high[order]
 
     def strings(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Strings of the grams with many contexts: distinct fingerprints and their counts; starts, and the fingerprint of each."""
@@ -147,27 +151,38 @@ def _send(length: int, shard_bits: int):
 def _judge(frame, many: int):
     """Per anchor of each block: whether its context repeats, and whether it is to be compared, string by string if ``many`` differ."""
     keys = [EliasFano.unpack(k) for k in frame["keys"]]
-    sizes = np.array([len(k) for k in keys])
-    key = np.concatenate(keys)
-    del keys
-    prints = np.concatenate([np.frombuffer(p, np.uint64) for p in frame["prints"]])
+    prints = [np.frombuffer(p, np.uint64) for p in frame["prints"]]
+    out = [np.empty(len(k), np.uint8) for k in keys]
+    # Sorting takes several times its rows, so it goes by ranges of keys; a block's keys ascend.
+    ranges = 1 + sum(len(k) for k in keys) // JUDGED
+    bounds = np.linspace(0, float(max(k[-1] for k in keys)), ranges + 1)[1:-1].astype(np.uint64)
+    cuts = [[0, *np.searchsorted(k, bounds).tolist(), len(k)] for k in keys]
+    for i in range(ranges):
+        mine = [(n, c[i], c[i + 1]) for n, c in enumerate(cuts) if c[i + 1] > c[i]]
+        if mine:
+            state = _judge_range(np.concatenate([keys[n][a:b] for n, a, b in mine]), np.concatenate([prints[n][a:b] for n, a, b in mine]), many)
+            at = 0
+            for n, a, b in mine:
+                out[n][a:b] = state[at : at + b - a]
+                at += b - a
+    return pd.DataFrame({"shard": frame["shard"], "block": frame["block"], "reply": [zlib.compress(x.tobytes(), 1) for x in out]})
+
+
+def _judge_range(key: np.ndarray, prints: np.ndarray, many: int) -> np.ndarray:
     order = np.lexsort((prints, key))
     k, p = key[order], prints[order]
-    size = len(key)
     new_key = np.concatenate([[True], k[1:] != k[:-1]])
     new = new_key | np.concatenate([[True], p[1:] != p[:-1]])
-    del key, prints, k, p
     heads = np.flatnonzero(new)
-    copies = np.diff(np.append(heads, size))
+    copies = np.diff(np.append(heads, len(key)))
     first = np.flatnonzero(new_key[heads])
     contexts = np.diff(np.append(first, len(heads)))
     kind = np.where(contexts > many, _MANY, np.where(contexts > 1, _COMPARE, 0)).astype(np.uint8)
     state = np.repeat(np.where(copies > 1, _REPEATED, 0).astype(np.uint8), copies)
     state[heads] |= np.repeat(kind, contexts)
-    out = np.empty(size, np.uint8)
+    out = np.empty(len(key), np.uint8)
     out[order] = state
-    cuts = np.cumsum(sizes)[:-1]
-    return pd.DataFrame({"shard": frame["shard"], "block": frame["block"], "reply": [zlib.compress(x.tobytes(), 1) for x in np.split(out, cuts)]})
+    return out
 
 
 def _states(anchors: _Anchors, shard_bits: int, replies: pa.Table) -> np.ndarray:
@@ -378,7 +393,9 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, whole_characters: bool =
     chosen = docs.select(*(F.col("text").cast("string").alias("text") if c == "text" else F.col(f"`{c}`") for c in others))
     if shard_bits is None:
         parts = chosen._jdf.queryExecution().toRdd().getNumPartitions()
-        shard_bits = min(16, max(3, (parts - 1).bit_length()))
+        # As many shards as partitions where those are few; beyond, by the bytes that the partitions hold at most, since each block writes a row a shard.
+        size = parts * docs.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        shard_bits = min(16, max(3, min(6, (parts - 1).bit_length()), (size // SHARD).bit_length()))
     # Every reading has the same columns: a round-robin shuffle before it deals rows by their whole content.
     judged = materialise(
         chosen.mapInArrow(_send(length, shard_bits), "shard int, block string, keys binary, prints binary")

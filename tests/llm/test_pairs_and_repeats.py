@@ -5,6 +5,7 @@ import tempfile
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -188,6 +189,33 @@ def test_a_gram_of_many_contexts_is_not_compared_in_one_place():
     assert (few == 2).all() and (many == 4).all()
 
 
+def test_anchors_spread_evenly_over_the_shards():
+    rng = np.random.default_rng(3)
+    texts = pa.array(["".join(map(chr, rng.integers(97, 123, 20_000))) for _ in range(20)])
+    anchors = suffix._Anchors(texts, 200)
+    sizes = [b - a for _, a, b in suffix._cuts(anchors.hash, 5)]
+    assert sum(sizes) == len(anchors.hash) > 4000
+    assert max(sizes) < 2 * len(anchors.hash) / 32
+    assert (np.diff(anchors.hash.astype(float)) >= 0).all()
+
+
+def test_anchors_are_judged_alike_by_ranges_of_keys(monkeypatch):
+    rng = np.random.default_rng(8)
+    keys = [np.sort(rng.integers(0, 300, n).astype(np.uint64) << np.uint64(40)) for n in (1, 400, 900, 50)]
+    frame = pd.DataFrame({
+        "shard": 0, "block": [f"0-{i}" for i in range(len(keys))], "keys": [EliasFano.pack(k, 59) for k in keys],
+        "prints": [rng.integers(0, 4, len(k)).astype(np.uint64).tobytes() for k in keys]})
+    largest, judge = [], suffix._judge_range
+    monkeypatch.setattr(suffix, "_judge_range", lambda key, *rest: (largest.append(len(key)), judge(key, *rest))[1])
+    replies = []
+    for size in (1 << 18, 100):
+        monkeypatch.setattr(suffix, "JUDGED", size)
+        replies.append([zlib.decompress(r) for r in suffix._judge(frame, 3)["reply"]])
+    assert largest[0] == 1351 and max(largest[1:]) < 300
+    assert replies[0] == replies[1]
+
+
+
 def test_repeats_in_an_empty_table(spark):
     assert suffix.cut_repeats(spark.createDataFrame([], ODD)).collect() == []
     assert suffix.cut_repeats(spark.createDataFrame([(1, None), (None, "")], "doc_id long, text string")).count() == 2
