@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,9 @@ from cohortkit.session import materialise
 # How long a stream remembers a scored patient after its last arrival.
 REMEMBER_DAYS = 90.0
 
+# Groups of keys whose patients share one state. A running stream's checkpoint depends on it.
+STATE_GROUPS = 1024
+
 
 def arriving(spark: SparkSession, folder: str, schema: T.StructType, *, max_files: int | None = None) -> DataFrame:
     """A stream over Parquet files that uploads drop into a folder."""
@@ -35,43 +40,65 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
 
 
+def _packed(deadlines: pd.Series) -> bytes:
+    table = pa.table({"key": pa.array(deadlines.index, pa.string()), "deadline": pa.array(deadlines.to_numpy(), pa.int64())})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(state: bytes | None) -> pd.Series:
+    """Deadline (ms) by remembered key."""
+    if state is None:
+        return pd.Series(index=pd.Index([], dtype=object), dtype=np.int64)
+    table = pa.ipc.open_stream(state).read_all()
+    return pd.Series(table.column("deadline").to_numpy(), pd.Index(table.column("key").to_pylist(), dtype=object))
+
+
 def mark_scored_before(arrivals: DataFrame, scoring: Scoring, *, days: float = REMEMBER_DAYS, clock_skew: str = "1 hour") -> DataFrame:
     """Add whether an earlier micro-batch scored the row's patient, from state kept per patient.
 
     A patient is remembered when it arrives in a single row without errors, so a
     corrected row of a rejected patient is still scored. Each arrival renews the
     time limit, which runs on the times of the micro-batches; ``clock_skew`` is how far the
-    driver's clock may step back before rows would count as late. Rows without a key have no state and are told apart by their content,
-    so that they do not meet in one group. The other columns of a row pass the state as one text, because a
-    group is mostly one row and its cost in Python is one per column.
+    driver's clock may step back before rows would count as late. Patients meet in ``STATE_GROUPS`` groups by a hash of the
+    key, each with one state of its remembered keys and their limits, because a call in Python costs the same for one row as
+    for thousands. Rows without a key are remembered by nothing and spread by their content. The other columns of a row pass the state as one text.
     """
     key, duration = domain.KEY, int(days * 86_400_000)
     arrivals = arrivals.toDF(*[normal_name(c) for c in arrivals.columns])
     fields = arrivals.schema.fields
     # As text no value changes on its way through pandas, whose integers and flags hold no nulls.
     row = F.to_json(F.struct(*[quoted(f.name).cast("string").alias(f.name) for f in fields]))
-    keyless = F.when(quoted(key).isNull(), F.xxhash64(*[quoted(f.name) for f in fields]))
+    keyless = F.xxhash64(*[quoted(f.name) for f in fields])
+    group_of = F.pmod(F.when(quoted(key).isNull(), keyless).otherwise(F.xxhash64(quoted(key).cast("string"))), F.lit(STATE_GROUPS))
     rows = arrivals.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", clock_skew).select(
-        "_arrived", F.unix_millis("_arrived").alias("_millis"), quoted(key).cast("string").alias("_state_key"), keyless.alias("_keyless"),
+        "_arrived", F.unix_millis("_arrived").alias("_millis"), quoted(key).cast("string").alias("_state_key"), group_of.cast("int").alias("_group"),
         (F.size(arrival_errors(arrivals, scoring)) == 0).alias("_valid"), row.alias("_row"),
     )
 
     def mark(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        known, seen = _unpacked(state.get[0] if state.exists else None), []
+        for frame in frames if not state.hasTimedOut else ():
+            yield pd.DataFrame({"_row": frame["_row"], SCORED_BEFORE: frame["_state_key"].isin(known.index)})
+            seen.append(frame.loc[frame["_state_key"].notna(), ["_state_key", "_valid", "_millis"]])
+        if seen:
+            rows = pd.concat(seen).groupby("_state_key").agg(rows=("_valid", "size"), valid=("_valid", "sum"), millis=("_millis", "first"))
+            again = rows["millis"][rows.index.isin(known.index) | ((rows["rows"] == 1) & (rows["valid"] == 1))] + duration
+        # As with a state of its own, a patient is forgotten at its limit unless it has just arrived.
+        watermark = state.getCurrentWatermarkMs()
+        known = known[known >= watermark]
+        if seen and len(again):
+            known = pd.concat([known[~known.index.isin(again.index)], again.astype(np.int64)])
+        if len(known):
+            state.update((_packed(known),))
+            state.setTimeoutTimestamp(max(int(known.min()), watermark + 1))
+        elif state.exists:
             state.remove()
-            return
-        before, count, valid, deadline = state.exists, 0, 0, 0
-        for frame in frames:
-            count += len(frame)
-            valid += int(frame["_valid"].sum())
-            deadline = int(frame["_millis"].iloc[0]) + duration
-            yield pd.DataFrame({"_row": frame["_row"], SCORED_BEFORE: before})
-        if group[0] is not None and (before or count == valid == 1):
-            state.update((True,))
-            state.setTimeoutTimestamp(deadline)
-
-    marked = rows.groupBy("_state_key", "_keyless").applyInPandasWithState(
-        mark, f"_row string, {SCORED_BEFORE} boolean", "scored boolean", "append", GroupStateTimeout.EventTimeTimeout
+
+    marked = rows.groupBy("_group").applyInPandasWithState(
+        mark, f"_row string, {SCORED_BEFORE} boolean", "remembered binary", "append", GroupStateTimeout.EventTimeTimeout
     )
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
     read = marked.select(F.from_json("_row", texts).alias("_row"), SCORED_BEFORE)

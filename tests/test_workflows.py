@@ -14,6 +14,7 @@ from cohortkit.plans.featurize import store_features, transform_features
 from cohortkit.plans.preprocess import preprocess_cohort, preprocess_patients
 from cohortkit.session import scratch_path
 from cohortkit.sources.writers import replace_table
+from cohortkit.streaming import arrivals as stream_arrivals
 from cohortkit.streaming.arrivals import arriving, mark_scored_before, score_stream
 from tests.conftest import new_store
 from tests.people import five_patients, geno_rows, pheno_rows
@@ -242,6 +243,22 @@ def test_state_ends_with_its_time_limit(spark):
         time.sleep(0.3)
 
 
+def test_patients_share_states_and_each_keeps_its_own_limit(spark, monkeypatch):
+    monkeypatch.setattr(stream_arrivals, "STATE_GROUPS", 1)
+    paths = [scratch_path(spark, label) for label in ("arriving", "marked", "progress")]
+    one = _batch(spark).where("patient_id = 1000")
+    many = one.crossJoin(spark.range(300)).withColumn("patient_id", F.col("id") + 5000).drop("id")
+    limits = {"days": 1e-5, "clock_skew": "0 seconds"}
+    assert not any(r["scored_before"] for r in _marked(spark, many, paths, **limits).collect())
+    time.sleep(1.2)
+    again = _marked(spark, many.where("patient_id = 5000"), paths, days=30, clock_skew="0 seconds").collect()
+    assert [r["scored_before"] for r in again] == [True]
+    # The batch without data that followed let the others run out, but not the one that had come again.
+    back = _marked(spark, many.where("patient_id < 5003"), paths, **limits).collect()
+    assert {r["patient_id"]: r["scored_before"] for r in back} == {5000: True, 5001: False, 5002: False}
+    assert spark.read.format("statestore").load(paths[2]).count() == 1
+
+
 def test_feature_store_needs_labels_and_selected_features(spark, store, scoring):
     merged = spark.table(store.merged)
     with pytest.raises(ValueError, match="label"):
